@@ -44,17 +44,12 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 20),
     Rule("hex", r"[0-9a-f]{24,}", 24),
 )
+#: Only the base hex rule counts characters: counters of several rules multiply the states, so lengths
+#: are checked by ``least``; bodies that hold other prefixes multiply them too, so the list is short.
 EXTRA_RULES = (
-    Rule("github", r"gh[pousr]_[A-Za-z0-9]{20,}", 40),
-    Rule("gitlab", r"glpat-[A-Za-z0-9_\-]{8,}", 26),
-    Rule("slack", r"xox[abprs]-[A-Za-z0-9\-]{8,}", 15),
-    Rule("google", r"AIza[A-Za-z0-9_\-]{8,}", 39),
-    Rule("stripe", r"[sr]k_(live|test)_[A-Za-z0-9]{8,}", 24),
-    Rule("npm", r"npm_[A-Za-z0-9]{8,}", 40),
-    Rule("sendgrid", r"SG\.[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}", 30),
-    Rule("jwt", r"eyJ[A-Za-z0-9_\-]{4,}\.eyJ[A-Za-z0-9_\-]{4,}\.[A-Za-z0-9_\-]+", 30),
-    Rule("private_key", r"-----BEGIN ([A-Z]+ ){0,3}PRIVATE KEY-----", 0),
-    Rule("url_login", r"[a-z]{2,8}://[A-Za-z0-9_.\-]+:[A-Za-z0-9_.!$%\-]+@[A-Za-z0-9_.\-]+", 0),
+    Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 40),
+    Rule("gitlab", r"glpat-[A-Za-z0-9_\-]+", 26),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0),
 )
 RULES = BASE_RULES + EXTRA_RULES
 
