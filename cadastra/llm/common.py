@@ -23,13 +23,15 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(bound))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's ``spark.checkpoint.dir``; a temporary folder only where none is configured."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return shared or os.path.join(tempfile.gettempdir(), "cadastra-checkpoints")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's ``spark.checkpoint.dir``; set a folder only where none is configured."""
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isDefined():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(shared or os.path.join(tempfile.gettempdir(), "cadastra-checkpoints"))
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
 def cut(df: DataFrame) -> DataFrame:

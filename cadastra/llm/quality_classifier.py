@@ -1,6 +1,6 @@
 """Compression classifier: dictionaries of good and bad text, calibrated size difference.
 
-Texts are compressed with a zstandard dictionary made from good and one made from bad labelled
+Short pieces of a text are compressed with a zstandard dictionary made from good and one made from bad labelled
 texts.  The difference of the sizes over their sum becomes a probability by a logistic curve fitted on labelled texts kept out
 of the dictionaries.  At most ``SAMPLE`` labelled rows of each class (smallest hashes) and
 ``DICTIONARY`` bytes per dictionary are used; only the score's fit is bounded, every text is scored
@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE, DICTIONARY, PIECE, LEVEL = 2000, 1 << 17, 2048, 3
+#: Piece lengths in bytes to choose from; in short pieces the dictionary outweighs a text's own repeats.
+CHUNKS = (48, 96, 192)
 
 
 @dataclass(frozen=True)
@@ -28,6 +30,7 @@ class Model:
     bad: bytes
     slope: float
     shift: float
+    chunk: int = CHUNKS[0]
 
 
 class Sizes:
@@ -35,11 +38,13 @@ class Sizes:
         made = [zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT) for d in (model.good, model.bad)]
         for d in made:
             d.precompute_compress(level=LEVEL)
+        self.chunk = model.chunk
         self.by = [zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False) for d in made]
 
     def difference(self, text: str | None) -> float:
         raw = (text or "").encode()
-        good, bad = (len(c.compress(raw)) for c in self.by)
+        pieces = [raw[k : k + self.chunk] for k in range(0, len(raw), self.chunk)]
+        good, bad = (sum(len(c.compress(p)) for p in pieces) for c in self.by)
         return (bad - good) / (bad + good) if raw else 0.0
 
 
@@ -50,15 +55,21 @@ def fit(rows: list[tuple[str, int]]) -> Model:
         share = (len(groups[1]) + 0.5) / (len(groups[0]) + len(groups[1]) + 1)
         return Model(b"", b"", 0.0, float(np.log(share / (1 - share))))
     feed = {k: b"\n".join(t.encode()[:PIECE] for t in (g[::2] if len(g) > 1 else g))[:DICTIONARY] for k, g in groups.items()}
-    sizes = Sizes(Model(feed[1], feed[0], 0, 0))
+    return min((_calibrated(groups, feed, chunk) for chunk in CHUNKS), key=lambda x: x[0])[1]
+
+
+def _calibrated(groups: dict[int, list[str]], feed: dict[int, bytes], chunk: int) -> tuple[float, Model]:
+    """Log loss on the texts kept out of the dictionaries, and the model."""
+    sizes = Sizes(Model(feed[1], feed[0], 0, 0, chunk))
     rest = [(sizes.difference(t), k) for k, g in groups.items() for t in (g[1::2] or g)]
     x, y = np.array([r[0] for r in rest]), np.array([r[1] for r in rest], float)
     x1, beta = np.c_[x, np.ones_like(x)], np.zeros(2)
+    chance = lambda: 1 / (1 + np.exp(-np.clip(x1 @ beta, -30, 30)))
     for _ in range(60):
-        p = 1 / (1 + np.exp(-np.clip(x1 @ beta, -30, 30)))
-        grad = x1.T @ (y - p) - 1e-3 * beta
-        beta += np.linalg.solve((x1 * (p * (1 - p))[:, None]).T @ x1 + 1e-3 * np.eye(2), grad)
-    return Model(feed[1], feed[0], float(beta[0]), float(beta[1]))
+        p = chance()
+        beta += np.linalg.solve((x1 * (p * (1 - p))[:, None]).T @ x1 + 1e-3 * np.eye(2), x1.T @ (y - p) - 1e-3 * beta)
+    p = np.clip(chance(), 1e-9, 1 - 1e-9)
+    return float(-np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))), Model(feed[1], feed[0], float(beta[0]), float(beta[1]), chunk)
 
 
 def train(labelled: DataFrame, text: str = "text", label: str = "quality") -> Model:

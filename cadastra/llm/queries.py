@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, decontamination, licenses, quality_classifier, quality_rules, secrets
+from . import byte_bpe, chat, decontamination, licenses, near_dedup, quality_classifier, quality_rules, secrets
 from .common import bounded_batches, read
 
 
@@ -89,6 +89,11 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     fold = F.crc32(F.col("doc_id").cast("string")) % 5
