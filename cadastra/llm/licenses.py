@@ -83,6 +83,10 @@ def _places(ws: Column, phrase: str) -> Column:
     return F.transform(at, lambda i: F.struct(i.alias("at"), F.lit(BASE[phrase]).alias("label")))
 
 
+def _of(phrase: str):
+    return lambda ws: _places(ws, phrase)
+
+
 def _detections(text: Column, rule: Column) -> Column:
     """Spans of one rule from the pieces between its matches."""
     pieces, found = F.split(text, rule["pattern"]), F.regexp_extract_all(text, rule["pattern"], F.lit(0))
@@ -118,7 +122,7 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     first = docs.withColumn("_low", low).withColumn("_words", words(F.col("_low"), NOT_WORD))
     gate = F.filter(F.array(*[F.when(F.contains(F.col("_low"), F.lit(k)), F.lit(k)) for k in keys]), lambda k: k.isNotNull())
     none = F.array().cast("array<struct<at:int,label:string>>")
-    base = F.flatten(F.array(*[F.when(F.contains(F.col("_low"), F.lit(p.split()[-1])), _places(F.col("_words"), p)).otherwise(none) for p in BASE]))
+    base = F.flatten(F.array(*[F.when(F.contains(F.col("_low"), F.lit(p.split()[-1])), let(F.col("_words"), _of(p))).otherwise(none) for p in BASE]))
     active = lambda ks: F.filter(lit_rules, lambda r: F.array_contains(ks, r["key"]))
     spans = let(gate, lambda ks: F.when(F.size(ks) == 0, F.array().cast("array<struct<start:int,stop:int,priority:int,label:string,score:double>>")).otherwise(F.flatten(F.transform(active(ks), lambda r: _detections(F.col("_low"), r)))))
     return first.withColumns({"n_words": F.size("_words").cast("bigint"), "places": base, "detected": _resolve(spans)}).drop("_low", "_words")

@@ -74,7 +74,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     first = docs.withColumns({"_words": words(t), "_lines": lines})
     w = F.col("_words")
     bare = lambda x: F.translate(F.lower(x), ".,;:!?#*$%&|<>\"'()", "")
-    counted = first.withColumns(
+    made = (
         {
             "n_words": long(F.size(w)),
             "word_chars": long(F.length(F.regexp_replace(t, BLANKS, ""))),
@@ -86,6 +86,9 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
             "_stops": long(F.size(F.filter(w, lambda x: F.array_contains(stop, bare(x))))),
         }
     )
+    # Generated columns keep a filter on them from being pushed down and computed anew.
+    old = [x for x in first.columns if x not in made]
+    counted = first.select(*old, F.inline(F.array(F.struct(*[v.alias(k) for k, v in made.items()]))))
     c = F.col
     return counted.withColumns(
         {

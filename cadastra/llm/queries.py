@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, decontamination, licenses, near_dedup, quality_classifier, quality_rules, secrets
+from . import byte_bpe, chat, decontamination, html_text, licenses, near_dedup, pii, quality_classifier, quality_rules, secrets
 from .common import bounded_batches, read
 
 
@@ -58,6 +58,12 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", html_text.main_text(F.col("html")).alias("text"))
+    return pages.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", planted), (-1, 1, "assistant", planted)], "conv_id long, turn long, role string, text string")
@@ -94,6 +100,11 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
+def op8_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = pii.pseudonymise(read(spark, sf_dir, "documents").select("doc_id", "text"), key="cadastra")
+    return done.select("doc_id", "n_values", "text")
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     fold = F.crc32(F.col("doc_id").cast("string")) % 5
