@@ -5,7 +5,8 @@ smallest hashes.  Equal sets form a class first, so exact copies never meet each
 values are inverted into lists.  Linked texts share at least three eighths of their sketch but for
 odds below 1e-5, so by the prefix filter only the rarest ``n - 3n/8 + 1`` values of a sketch need be
 listed, and values of one class only are dropped.  Lists do not emit all their pairs: every list
-links its members to a leader (the smallest class, then the class with the most links); only
+links its members to a leader (the smallest class, then the class with the most links, then others
+by hash, each for the members outside its component); only
 members of a list that are still in different components are paired afterwards, all of them.
 Pairs pass a length bound and the union-sketch estimate before exact Jaccard on full sets.
 
@@ -29,6 +30,8 @@ from .common import bounded_batches, cut
 K, WIDTH, NUMERATOR, DENOMINATOR = 32, 5, 75, 100
 #: The estimate has a deviation below 0.077 at the threshold; this slack is five of them.
 SLACK = 0.385
+#: Rounds with one further leader per list before what is still apart is paired in full.
+LEADERS = 4
 _WORD = regex.compile(r"[^\x20\x09-\x0D]+")
 _FOLD = {c: c + 32 for c in range(65, 91)}
 
@@ -106,6 +109,13 @@ def _star(lists: DataFrame, leaders: DataFrame) -> DataFrame:
     return lists.join(leaders, "value").where("id != leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
 
 
+def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows (value, id, comp) of the lists that hold several components."""
+    placed = lists.join(labels, "id")
+    mixed = placed.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("value")
+    return cut(placed.join(mixed, "value"))
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` with n_shingles and component_id (smallest ``key`` reachable)."""
     bounded_batches(docs.sparkSession)
@@ -121,14 +131,22 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     hubs = lists.join(degree, "id").groupBy("value").agg(F.max_by("id", F.struct("d", "id")).alias("leader"))
     second = cut(_star(lists, hubs).join(tried, ["a", "b"], "left_anti"))
     links = links.unionByName(verify(second, sets))
+    tried = tried.unionByName(second)
+    for k in range(LEADERS):
+        open_ = _open(lists, components(nodes, links))
+        leaders = open_.groupBy("value").agg(F.min_by(F.struct("id", "comp"), F.xxhash64("id", F.lit(k))).alias("l"))
+        apart = open_.join(leaders, "value").where(F.col("comp") != F.col("l.comp"))
+        more = apart.select(F.least("id", "l.id").alias("a"), F.greatest("id", "l.id").alias("b")).distinct()
+        more = cut(more.join(tried, ["a", "b"], "left_anti"))
+        if more.isEmpty():
+            break
+        tried, links = tried.unionByName(more), links.unionByName(verify(more, sets))
     labels = components(nodes, links)
-    placed = lists.join(labels, "id")
-    mixed = placed.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("value")
-    open_ = cut(placed.join(mixed, "value"))
+    open_ = _open(lists, labels)
     left = open_.select("value", F.col("id").alias("a"), F.col("comp").alias("ca"))
     right = open_.select("value", F.col("id").alias("b"), F.col("comp").alias("cb"))
     rest = left.join(right, "value").where("a < b and ca != cb").select("a", "b").distinct()
-    rest = cut(rest.join(tried.unionByName(second), ["a", "b"], "left_anti"))
+    rest = cut(rest.join(tried, ["a", "b"], "left_anti"))
     found = verify(rest, sets)
     if not found.isEmpty():
         labels = components(nodes, links.unionByName(found))
