@@ -46,21 +46,23 @@ THRESHOLDS = (
 
 
 def _repeat_words(ws: Column) -> Column:
-    """Words inside a window of five that occurs at two or more places of the text."""
+    """Words inside a window of five that occurs at two or more places of the text.
+
+    Windows of one text are told apart by 64-bit hashes; two of a million differing ones meet with odds below 1e-7.
+    """
     n = F.size(ws)
 
-    def covered(found: Column) -> Column:
-        starts = F.sort_array(found)
+    def covered(starts: Column) -> Column:
         return total(F.transform(starts, lambda p, k: F.when(k + 1 < F.size(starts), F.least(F.lit(WINDOW), F.get(starts, k + 1) - p)).otherwise(WINDOW).cast("bigint")))
 
-    def repeated(windows: Column) -> Column:
-        tagged = F.sort_array(F.transform(windows, lambda w, k: F.struct(w.alias("w"), k.alias("k"))))
+    def repeated(hashed: Column) -> Column:
+        tagged = F.sort_array(F.transform(hashed, lambda h, k: F.struct(h.alias("h"), k.alias("k"))))
         twice = lambda s: F.filter(
-            F.transform(s, lambda x, k: F.when((F.get(s, k - 1)["w"] == x["w"]) | (F.get(s, k + 1)["w"] == x["w"]), x["k"])), lambda k: k.isNotNull()
+            F.transform(s, lambda x, k: F.when((F.get(s, k - 1)["h"] == x["h"]) | (F.get(s, k + 1)["h"] == x["h"]), x["k"])), lambda k: k.isNotNull()
         )
-        return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0).cast("bigint")).otherwise(let(let(tagged, twice), covered))
+        return F.when(F.size(F.array_distinct(hashed)) == F.size(hashed), F.lit(0).cast("bigint")).otherwise(let(F.sort_array(let(tagged, twice)), covered))
 
-    window = lambda k: F.concat_ws(" ", *[F.get(ws, k + d) for d in range(WINDOW)])
+    window = lambda k: F.xxhash64(*[F.get(ws, k + d) for d in range(WINDOW)])
     return F.when(n <= WINDOW, F.lit(0).cast("bigint")).otherwise(let(F.transform(F.sequence(F.lit(0), n - WINDOW), window), repeated))
 
 
@@ -70,7 +72,6 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     long = lambda c: c.cast("bigint")
     ratio = lambda a, b: F.when(b == 0, F.lit(0.0)).otherwise(a / b)
-    stop = F.array(*[F.lit(w) for w in dict.fromkeys(STOP_WORDS)])
     first = docs.withColumns({"_words": words(t), "_lines": lines})
     w = F.col("_words")
     bare = lambda x: F.translate(F.lower(x), ".,;:!?#*$%&|<>\"'()", "")
@@ -78,12 +79,12 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         {
             "n_words": long(F.size(w)),
             "word_chars": long(F.length(F.regexp_replace(t, BLANKS, ""))),
-            "n_symbols": long(F.length(t) - F.length(F.translate(t, SYMBOLS, ""))),
+            "n_symbols": long(F.length(F.regexp_replace(t, f"[^{SYMBOLS}]++", ""))),
             "n_lines": long(F.size("_lines")),
             "n_dup_lines": long(F.size("_lines") - F.size(F.array_distinct("_lines"))),
             "n_repeat_words": _repeat_words(w),
-            "_shouts": long(F.length(t) - F.length(F.translate(t, "!", ""))),
-            "_stops": long(F.size(F.filter(w, lambda x: F.array_contains(stop, bare(x))))),
+            "_shouts": long(F.length(F.regexp_replace(t, "[^!]++", ""))),
+            "_stops": long(F.size(F.filter(w, lambda x: bare(x).isin(*dict.fromkeys(STOP_WORDS))))),
         }
     )
     # Generated columns keep a filter on them from being pushed down and computed anew.
