@@ -28,6 +28,8 @@ from .text import NOT_WORD, ascii_lower, words
 BLOCK_BYTES = 32 << 20
 _WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 _FOLD = {c: c + 32 for c in range(65, 91)}
+#: Separators of words before lower-casing.
+NOT_CASED_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 HITS = "struct<n_words:bigint,hit_at:array<int>,items:array<string>>"
 
 
@@ -38,8 +40,12 @@ def tokens(text: str | None) -> list[str]:
 def word_counts(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
     """Occurrences over all documents of each word that some item has."""
     vocabulary = items.select(F.explode(words(ascii_lower(F.col(text)), NOT_WORD)).alias("word")).distinct()
-    said = docs.select(F.explode(words(ascii_lower(F.col(text)), NOT_WORD)).alias("word"))
-    return said.groupBy("word").count().join(vocabulary, "word", "left_semi")
+    # Words are cut first and lower-cased singly: all but a few are plain ASCII, which ``lower`` folds in bulk.
+    cased = docs.select(F.explode(F.split(F.coalesce(F.col(text), F.lit("")), NOT_CASED_WORD)).alias("w")).where("w != ''")
+    plain = F.octet_length("w") == F.length("w")
+    said = cased.groupBy("w").count().select(F.when(plain, F.lower("w")).otherwise(ascii_lower(F.col("w"))).alias("word"), "count")
+    said = said.groupBy("word").agg(F.sum("count").alias("count"))
+    return said.join(vocabulary, "word", "left_semi")
 
 
 def index(items: list[tuple[str, str | None]], seen: dict[str, int], window: int) -> dict[str, list]:
