@@ -1,8 +1,9 @@
 """Byte-level BPE: ranked merges folded over the bytes of distinct words.
 
-A text is cut by the tokenizer's pattern; each distinct word of a worker is merged once.  The
-rank table (one row per token) is broadcast.  Merges run over a heap, so one very long word costs
-n log n.  Decoding concatenates the binary pieces.  Defined cases: null and empty texts have no
+A text is cut by the tokenizer's pattern; each distinct word is merged once per worker, while it is
+remembered.  The
+rank table (one row per token) is broadcast.  Merges of long words run over a heap, so one very long
+word costs n log n.  Decoding concatenates the binary pieces.  Defined cases: null and empty texts have no
 ids and decode to no bytes; an id that the table lacks raises an error.
 """
 
@@ -10,9 +11,11 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import Broadcast
@@ -20,7 +23,9 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 #: Distinct words that a worker remembers; others are merged anew.
-MEMORY = 1 << 17
+MEMORY = 1 << 18
+#: Words up to this many bytes are folded over a plain list, longer ones over a heap.
+SHORT = 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -28,11 +33,29 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+def _fold(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """``merge`` of a short word: scanning its few pairs costs less than a heap."""
+    get, none = ranks.get, 1 << 31
+    parts = [word[k : k + 1] for k in range(len(word))]
+    pairs = [get(word[k : k + 2], none) for k in range(len(word) - 1)]
+    while pairs and (least := min(pairs)) < none:
+        k = pairs.index(least)
+        parts[k] += parts.pop(k + 1)
+        del pairs[k]
+        if k < len(pairs):
+            pairs[k] = get(parts[k] + parts[k + 1], none)
+        if k:
+            pairs[k - 1] = get(parts[k - 1] + parts[k], none)
+    return [ranks[x] for x in parts]
+
+
 def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one word: always the adjacent pair of lowest rank, leftmost first."""
     if word in ranks:
         return [ranks[word]]
     n = len(word)
+    if n <= SHORT:
+        return _fold(word, ranks)
     end, after, before, alive = list(range(1, n + 1)), list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
     heap = []
 
@@ -76,20 +99,31 @@ def encode(text: Column, using: tuple[Broadcast, str]) -> Column:
         ranks, cut = shared.value, regex.compile(pattern)
         known = lru_cache(MEMORY)(lambda w: merge(w.encode(), ranks))
         for batch in batches:
-            yield pa.array([[i for w in cut.findall(t.as_py() or "") for i in known(w)] for t in batch], pa.list_(pa.int32()))
+            flat, ends = array("i"), [0]
+            for t in batch.to_pylist():
+                for got in map(known, cut.findall(t)) if t else ():
+                    flat.extend(got)
+                ends.append(len(flat))
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32)))
 
     return ids(text)
 
 
+def _lists(batch: pa.Array) -> Iterator[np.ndarray]:
+    """The lists of a batch, as slices of its flat values; null lists are empty."""
+    ends, values = batch.offsets.to_numpy(), batch.values.to_numpy()
+    return (values[a:b] if ok else values[:0] for a, b, ok in zip(ends[:-1], ends[1:], batch.is_valid().to_pylist()))
+
+
 def decode(ids: Column, using: tuple[Broadcast, str]) -> Column:
     """Bytes of a list of ids."""
     shared = using[0]
 
     @F.arrow_udf("binary")
     def pieces(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        piece = {i: b for b, i in shared.value.items()}
+        piece = {i: b for b, i in shared.value.items()}.__getitem__
         for batch in batches:
-            yield pa.array([b"".join(piece[i] for i in (x.as_py() or [])) for x in batch], pa.binary())
+            yield pa.array([b"".join(map(piece, x.tolist())) for x in _lists(batch)], pa.binary())
 
     return pieces(ids)
 
@@ -99,8 +133,6 @@ def little_endian(ids: Column) -> Column:
 
     @F.arrow_udf("binary")
     def packed(batch: pa.Array) -> pa.Array:
-        import numpy as np
-
-        return pa.array([np.asarray(x.as_py() or [], "<u4").tobytes() for x in batch], pa.binary())
+        return pa.array([x.astype("<u4").tobytes() for x in _lists(batch)], pa.binary())
 
     return packed(ids)
