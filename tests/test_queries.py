@@ -5,8 +5,12 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from cadastra.plans import queries as plans
+from cadastra.plans import queries as records
+from cadastra.plans import summaries
 
+MODULES = (records, summaries)
+QUERIES = {k: f for m in MODULES for k, f in m.queries().items()}
+ORACLE = {k: q for m in MODULES for k, q in m.oracle_sql().items()}
 DATA = "/root/testdata/sf0.001"
 
 
@@ -15,9 +19,9 @@ def _rows(frame):
     return sorted(map(repr, ([None if v is None or v != v else (float(v) if isinstance(v, float) else str(v)) for v in r] for r in frame.astype(object).values.tolist())))
 
 
-@pytest.mark.parametrize("name", sorted(plans.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_oracle(spark, name):
     con = duckdb.connect()
     for p in Path(DATA).glob("*.parquet"):
         con.execute(f"CREATE VIEW {p.stem} AS SELECT * FROM '{p}'")
-    assert _rows(plans.queries()[name](spark, DATA).toPandas()) == _rows(con.execute(plans.oracle_sql()[name]).df())
+    assert _rows(QUERIES[name](spark, DATA).toPandas()) == _rows(con.execute(ORACLE[name]).df())
