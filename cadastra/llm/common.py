@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,15 +30,23 @@ def shared_folder(spark: SparkSession) -> str:
     return shared or os.path.join(tempfile.gettempdir(), "cadastra-checkpoints")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+class Scratch:
+    """Tables written to the shared folder: they cut the lineage and outlive executors."""
 
+    def __init__(self, spark: SparkSession):
+        self.spark, self.top, self.n = spark, os.path.join(shared_folder(spark), f"scratch-{uuid.uuid4().hex}"), 0
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably in the shared checkpoint folder and cut its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    def cut(self, df: DataFrame, part: str = "work") -> DataFrame:
+        """``df`` written and read again."""
+        self.n += 1
+        path = f"{self.top}/{part}/{self.n}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, part: str = "work") -> None:
+        """Delete the tables of one part; no plan may read them afterwards."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.top}/{part}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

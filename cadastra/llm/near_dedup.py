@@ -16,7 +16,7 @@ are one shingle; repeated rows are copies; extra columns pass through, result na
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, cut
+from .common import Scratch, bounded_batches
 
 K, WIDTH, NUMERATOR, DENOMINATOR = 32, 5, 75, 100
 #: The estimate has a deviation below 0.077 at the threshold; this slack is five of them.
@@ -77,7 +77,7 @@ def inverted(classes: DataFrame) -> DataFrame:
     return shared.where(take > 0).select("id", F.explode(F.slice("v", 1, take.cast("int"))).alias("v")).select("id", "v.value")
 
 
-def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verify(pairs: DataFrame, sets: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Pairs (a, b) whose exact Jaccard reaches the threshold."""
     side = lambda x: sets.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"k{x}"), F.col("shingles").alias(f"s{x}"))
     size = pairs.join(sets.select(F.col("id").alias("a"), F.col("n").alias("na")), "a").join(sets.select(F.col("id").alias("b"), F.col("n").alias("nb")), "b")
@@ -90,7 +90,18 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return cut(both.where(F.when(estimate >= SLACK, exact).otherwise(False)).select("a", "b"))
 
 
-def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def merged(labels: DataFrame, edges: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``labels`` after further ``edges``: only the components that these join are worked on."""
+    end = lambda x: labels.select(F.col("id").alias(x), F.col("comp").alias(f"c{x}"))
+    joined = edges.join(end("a"), "a").join(end("b"), "b").where("ca != cb")
+    between = cut(joined.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct())
+    if between.isEmpty():
+        return labels
+    tops = components(between.select(F.explode(F.array("a", "b")).alias("id")).distinct(), between, cut)
+    return cut(labels.join(tops.select(F.col("id").alias("comp"), F.col("comp").alias("top")), "comp", "left").select("id", F.coalesce("top", "comp").alias("comp")))
+
+
+def components(nodes: DataFrame, edges: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(id, comp) with the smallest id reachable, by minimum labels and pointer jumping."""
     ways = cut(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = cut(nodes.select("id", F.col("id").alias("comp")))
@@ -109,7 +120,7 @@ def _star(lists: DataFrame, leaders: DataFrame) -> DataFrame:
     return lists.join(leaders, "value").where("id != leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
 
 
-def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
+def _open(lists: DataFrame, labels: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Rows (value, id, comp) of the lists that hold several components."""
     placed = lists.join(labels, "id")
     mixed = placed.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("value")
@@ -119,37 +130,38 @@ def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` with n_shingles and component_id (smallest ``key`` reachable)."""
     bounded_batches(docs.sparkSession)
-    features = cut(docs.select(key, features_of(F.col(text)).alias("f")).select(F.col(key).alias("doc"), "f.*"))
-    classes = cut(features.where("n > 0").groupBy("set_id").agg(F.min("doc").alias("id"), F.min(F.struct("n", "sketch")).alias("f")).select("set_id", "id", "f.*"))
+    scratch = Scratch(docs.sparkSession)
+    cut, kept = scratch.cut, lambda df: scratch.cut(df, "kept")
+    features = kept(docs.select(key, features_of(F.col(text)).alias("f")).select(F.col(key).alias("doc"), "f.*"))
+    classes = kept(features.where("n > 0").groupBy("set_id").agg(F.min("doc").alias("id"), F.min(F.struct("n", "sketch")).alias("f")).select("set_id", "id", "f.*"))
     lists = cut(inverted(classes))
     nodes = lists.select("id").distinct()
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("_t")).join(nodes, "id", "left_semi").dropDuplicates(["id"])
     sets = cut(texts.select("id", set_of(F.col("_t")).alias("shingles")).join(classes.select("id", "n", "sketch"), "id"))
     tried = cut(_star(lists, lists.groupBy("value").agg(F.min("id").alias("leader"))))
-    links = verify(tried, sets)
+    links = verify(tried, sets, cut)
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("d"))
     hubs = lists.join(degree, "id").groupBy("value").agg(F.max_by("id", F.struct("d", "id")).alias("leader"))
     second = cut(_star(lists, hubs).join(tried, ["a", "b"], "left_anti"))
-    links = links.unionByName(verify(second, sets))
+    links = links.unionByName(verify(second, sets, cut))
     tried = tried.unionByName(second)
+    labels = components(nodes, links, cut)
     for k in range(LEADERS):
-        open_ = _open(lists, components(nodes, links))
+        open_ = _open(lists, labels, cut)
         leaders = open_.groupBy("value").agg(F.min_by(F.struct("id", "comp"), F.xxhash64("id", F.lit(k))).alias("l"))
         apart = open_.join(leaders, "value").where(F.col("comp") != F.col("l.comp"))
         more = apart.select(F.least("id", "l.id").alias("a"), F.greatest("id", "l.id").alias("b")).distinct()
         more = cut(more.join(tried, ["a", "b"], "left_anti"))
         if more.isEmpty():
             break
-        tried, links = tried.unionByName(more), links.unionByName(verify(more, sets))
-    labels = components(nodes, links)
-    open_ = _open(lists, labels)
+        tried, labels = tried.unionByName(more), merged(labels, verify(more, sets, cut), cut)
+    open_ = _open(lists, labels, cut)
     left = open_.select("value", F.col("id").alias("a"), F.col("comp").alias("ca"))
     right = open_.select("value", F.col("id").alias("b"), F.col("comp").alias("cb"))
     rest = left.join(right, "value").where("a < b and ca != cb").select("a", "b").distinct()
     rest = cut(rest.join(tried, ["a", "b"], "left_anti"))
-    found = verify(rest, sets)
-    if not found.isEmpty():
-        labels = components(nodes, links.unionByName(found))
+    labels = kept(merged(labels, verify(rest, sets, cut), cut))
+    scratch.drop()
     of_set = classes.join(labels, "id", "left").select("set_id", F.coalesce("comp", "id").alias("comp"))
     of_doc = features.join(of_set, "set_id", "left").select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("comp", "doc").alias("component_id"))
     passed = [c for c in docs.columns if c not in ("n_shingles", "component_id")]
