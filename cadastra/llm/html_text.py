@@ -1,10 +1,13 @@
 """HTML extraction by composite text density.
 
-Every DOM node gets its characters per tag, adjusted for link characters; the densities of a
-node's children are summed, and the node of maximum sum is taken among those at least as dense as
-the threshold, the smallest density on the path from the body to the densest node.  Parts that are
-never main text (navigation, headers and footers of the page, forms, comments of readers, notices,
-adverts, hidden parts) are left out first, by element name and by the names in class, id and role.
+Every DOM node gets its characters per tag, adjusted for link characters; inline tags are not counted,
+so marked words do not thin a paragraph.  The densities of a node's children are summed.  The threshold is
+the smallest density on the path from the body to the densest node; every node at or above it marks the node
+of maximum sum below it.  A marked node grows to the article (or main) element around it, or where there is
+none, up through parents as long as these add less link text than plain text, so headings and short paragraphs
+beside it stay.  All parts are put out in page order.  Parts that are never main text (navigation, headers and
+footers of the page, forms, comments of readers, notices, adverts, hidden parts) are left out first, by
+element name and by the names in class, id and role.
 
 Defined cases: null and empty pages give an empty text; a page without markup is its text; broken
 nesting is closed as browsers do for paragraphs, list items and cells; repeated rows are extracted each.
@@ -25,6 +28,7 @@ from pyspark.sql import functions as F
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIP = frozenset("script style noscript template iframe object svg canvas head title nav aside footer form button select textarea dialog menu".split())
 BLOCK = frozenset("address article blockquote body caption dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 header hgroup hr html li main ol p pre section summary table tbody td tfoot th thead tr ul br".split()) - {"br"}
+INLINE = frozenset("abbr b bdi bdo big br cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dd": {"dd", "dt", "p"}, "dt": {"dd", "dt", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "tr": {"tr", "td", "th", "p"}}
 STOPS = frozenset("table ul ol dl article section div body html main aside nav header footer".split())
 #: Names that mark parts beside the main text.
@@ -98,7 +102,7 @@ def _measure(nodes: list[Node]) -> None:
     for n in reversed(nodes):
         kids = [k for k in n.kids if isinstance(k, Node) and not k.skip]
         n.chars = sum(len(SPACE.sub(" ", k).strip()) for k in n.kids if isinstance(k, str)) + sum(k.chars for k in kids)
-        n.tags = sum(1 + k.tags for k in kids)
+        n.tags = sum((k.tag not in INLINE) + k.tags for k in kids)
         n.links = n.chars if n.tag == "a" else sum(k.links for k in kids)
         n.link_tags = n.tags + 1 if n.tag == "a" else sum(k.link_tags for k in kids)
     body = nodes[0]
@@ -107,18 +111,46 @@ def _measure(nodes: list[Node]) -> None:
         plain, links, tags, link_tags = max(1, n.chars - n.links), n.links or 1, n.tags or 1, n.link_tags or 1
         base = math.log(n.chars / plain * links + share * n.chars + math.e)
         n.density = n.chars / tags * math.log(max(1.0, n.chars / links * tags / link_tags) + 1e-9, max(base, 1.0001)) if n.chars else 0.0
-        n.total = sum(k.density for k in n.kids if isinstance(k, Node) and not k.skip)
+        n.total = sum(k.total if k.tag in INLINE else k.density for k in n.kids if isinstance(k, Node) and not k.skip)
+
+
+def _grown(n: Node) -> Node:
+    """The main part around a marked node."""
+    up, around = n, {}
+    while up is not None:
+        around[up.tag] = up
+        up = up.parent
+    for tag in ("article", "main"):
+        if tag in around:
+            return around[tag]
+    while n.parent is not None and (n.tag not in BLOCK or 2 * (n.parent.links - n.links) <= n.parent.chars - n.chars):
+        n = n.parent
+    return n
 
 
-def _main(nodes: list[Node]) -> Node:
-    best = max(nodes, key=lambda n: n.total)
-    path, n = [], best
+def _main(nodes: list[Node]) -> list[Node]:
+    """The main parts in page order, none inside another."""
+    n = max(nodes, key=lambda x: x.density)
+    threshold = n.density
     while n is not None:
-        path.append(n.density)
-        n = n.parent
-    threshold = min(path)
-    dense = [n for n in nodes if n.density >= threshold and n.kids]
-    return max(dense, key=lambda n: n.total) if dense else nodes[0]
+        threshold, n = min(threshold, n.density), n.parent
+    best, marked = {}, {}
+    for n in reversed(nodes):
+        top = n
+        for k in n.kids:
+            if isinstance(k, Node) and not k.skip and best[k].total > top.total:
+                top = best[k]
+        best[n] = top
+        if n.chars and n.density >= threshold:
+            marked[top] = None
+    parts, inside, out = {_grown(n) for n in marked}, set(), []
+    for n in nodes:
+        if n.parent in inside:
+            inside.add(n)
+        elif n in parts:
+            inside.add(n)
+            out.append(n)
+    return out
 
 
 def blocks(root: Node) -> list[str]:
@@ -156,7 +188,7 @@ def extract(html: str | None) -> str:
     tree.close()
     nodes = _ordered(tree.root)
     _measure(nodes)
-    return "\n\n".join(blocks(_main(nodes)))
+    return "\n\n".join(b for part in _main(nodes) for b in blocks(part))
 
 
 def main_text(html: Column) -> Column:

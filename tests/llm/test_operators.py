@@ -1,5 +1,6 @@
 """The text operators against brute force on small texts with nulls, ties, repeats and long rows."""
 
+import html
 import re
 
 import pytest
@@ -73,6 +74,23 @@ def test_html_and_classifier():
     assert quality_classifier.Sizes(model).difference("words in a row plain") > quality_classifier.Sizes(model).difference("$$$ ### %%%")
 
 
+def _article(page):
+    """The article's paragraphs by regular expressions alone."""
+    body = re.sub(r"</?(?:article|section|div|h1|h2|p)\b[^>]*>", "\0", re.search(r"<article>(.*)</article>", page, re.S)[1])
+    parts = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", re.sub(r"<br>", " ", x))).split()) for x in body.split("\0")]
+    return "\n\n".join(p for p in parts if p)
+
+
+def test_html_whole_article():
+    sections = "".join("<section><h2>Part %d</h2>%s</section>" % (k, "".join(f"<p>{'some plain words of the text ' * 14}{k}{j}.</p>" for j in range(5))) for k in range(3))
+    menu = "<div class=menu>%s</div>" % "".join(f"<a href=/{k}>go {k}</a> " for k in range(9))
+    for inner in ("<h1>Title of it</h1><p><b>Bold text that is never closed, %s.<br>" % ("and more " * 40), "<h1>Title</h1>" + sections, "<h1>T</h1>" + sections.replace("some plain", "<b>some</b> <i>plain</i>")):
+        page = f"<html><body>{menu}<article>{inner}</article><footer>foot</footer></body></html>"
+        assert html_text.extract(page) == _article(page)
+        plain = page.replace("article>", "div>").replace(menu, "<div>%s</div>" % menu.replace(" class=menu", ""))
+        assert html_text.extract(plain) == _article(page)
+
+
 def test_pii(spark):
     texts = [("card 4111111111111111 on 2020-02-29, mail a@b.org",), ("again 4111111111111111",), (None,), ("",)]
     got = [r.text for r in pii.pseudonymise(spark.createDataFrame(texts, "text string"), key="k").collect()]
