@@ -110,7 +110,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = F.crc32(F.col("doc_id").cast("string")) % 5
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read(spark, sf_dir, "labels").where(F.col("quality").isNotNull() & (fold != 0)).select("doc_id", "quality")
-    model = quality_classifier.train(docs.where(fold != 0).join(labels, "doc_id"))
+    model = quality_classifier.train(docs.where(fold != 0), labels)
     scored = docs.select("doc_id", (fold == 0).alias("held_out"), quality_classifier.score(F.col("text"), docs, model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 

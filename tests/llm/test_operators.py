@@ -1,6 +1,7 @@
 """The text operators against brute force on small texts with nulls, ties, repeats and long rows."""
 
 import html
+import random
 import re
 
 import pytest
@@ -74,6 +75,28 @@ def test_html_and_classifier():
     assert quality_classifier.Sizes(model).difference("words in a row plain") > quality_classifier.Sizes(model).difference("$$$ ### %%%")
 
 
+def test_classifier_counts_all_rows(spark, tmp_path, monkeypatch):
+    from cadastra.llm import queries
+
+    dealt = random.Random(1)
+    texts = [" ".join(dealt.choices(["red", "green", "blue", "black", "white"], k=30)) for _ in range(2100)]
+    rows = [(k, texts[0] if k % 3 == 0 else t, int(k % 7 != 0)) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, quality int")
+    docs.select("doc_id", "text").write.parquet(str(tmp_path / "documents.parquet"))
+    docs.select("doc_id", "quality").write.parquet(str(tmp_path / "labels.parquet"))
+    used, fit = [], quality_classifier.fit
+    monkeypatch.setattr(quality_classifier, "SAMPLE", 100)
+    monkeypatch.setattr(quality_classifier, "fit", lambda rows, *more: used.append(rows) or fit(rows, *more))
+    scores = [r.score for r in queries.op9_quality_classifier(spark, str(tmp_path)).collect()]
+    assert abs(sum(scores) / len(scores) - 6 / 7) < 0.08
+    assert len(used[0]) == len(set(used[0])) == 200
+
+
+def test_classifier_dictionary_spans_texts():
+    model = quality_classifier.fit([("start of it " * 400 + "tail of it", 1), ("### $$$ " * 400 + "%%% end", 0)] * 3)
+    assert b"tail of it" in model.good and b"%%% end" in model.bad
+
+
 def _article(page):
     """The article's paragraphs by regular expressions alone."""
     body = re.sub(r"</?(?:article|section|div|h1|h2|p)\b[^>]*>", "\0", re.search(r"<article>(.*)</article>", page, re.S)[1])
