@@ -4,7 +4,9 @@ The rules are compiled together by subset construction and minimised into one tr
 array (``automaton.compile_rules``).  A text is encoded with one byte per code point, so byte
 offsets are code-point offsets; characters that no rule can name share a byte.  The single pass
 notices the end of a match; a mirrored automaton then walks back to the leftmost start and the
-rule's own forward automaton finds the longest end.  Matches of one kind do not overlap.
+rule's own forward automaton finds the longest end.  Matches of one kind do not overlap.  A private
+key's match is its BEGIN line; its span goes on through the body to the END line, or without END to the
+end of the base64 lines, by a linear expression applied behind the match only.
 
 Defined cases: a null or empty text has no spans; extra columns pass through untouched and a
 column that already has the result's name is replaced; repeated rows are scanned each.
@@ -13,6 +15,7 @@ column that already has the result's name is replaced; repeated rows are scanned
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -28,12 +31,13 @@ from .common import bounded_batches
 
 @dataclass(frozen=True)
 class Rule:
-    """``least`` counts characters of the match, or of what follows ``after`` in it."""
+    """``least`` counts characters of the match, or of what follows ``after`` in it; ``tail`` goes on behind the match."""
 
     kind: str
     pattern: str
     least: int = 0
     value_only: bool = False
+    tail: str = ""
 
 
 _ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=\-]+"""
@@ -44,12 +48,17 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 20),
     Rule("hex", r"[0-9a-f]{24,}", 24),
 )
+#: Characters between the lines of a key: armour headers, base64, and what quoting in code, JSON, YAML or mail adds.
+_GAP = r"""(?:[\s"'+>|#*,;]|\\[nrt\\"'])"""
+_KEY_BODY = rf"""(?:[A-Za-z0-9/=:.()_]|{_GAP}|\\|-(?!----))*+-----END\ [A-Z\ ]*PRIVATE\ KEY-----"""
+#: Without END: headers, lines of 16 base64 characters and more, and a shorter last line that fills its line or is padded.
+_KEY_REST = rf"""(?:{_GAP}*+(?:Proc-Type|DEK-Info|Comment):[^\n\\]*+)*+(?:{_GAP}*+(?:[A-Za-z0-9/]|\+(?!\s)){{16,}}+={{0,2}}+)++(?:{_GAP}++[A-Za-z0-9+/]++(?:={{1,2}}+|(?=["']|\\[nr]|[\x20\t]*+(?:[\r\n]|\Z))))?"""
 #: Only the base hex rule counts characters: counters of several rules multiply the states, so lengths
 #: are checked by ``least``; bodies that hold other prefixes multiply them too, so the list is short.
 EXTRA_RULES = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 40),
     Rule("gitlab", r"glpat-[A-Za-z0-9_\-]+", 26),
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, tail=f"{_KEY_BODY}|{_KEY_REST}"),
 )
 RULES = BASE_RULES + EXTRA_RULES
 
@@ -74,6 +83,7 @@ class Scanner:
         own = lambda node: automaton.compile_rules([node], search=False, classes=self.all.classes)
         self.forward = [own(n) for n in nodes]
         self.backward = [own(automaton.mirrored(n)) for n in nodes]
+        self.tails = [re.compile(r.tail.encode(), re.ASCII) if r.tail else None for r in rules]
 
     @staticmethod
     def _furthest(dfa: automaton.Dfa, steps) -> int:
@@ -108,6 +118,8 @@ class Scanner:
                         continue
                     start = end - back
                     stop = start + self._furthest(self.forward[rule], (data[k] for k in range(start, n)))
+                    if self.tails[rule] and (more := self.tails[rule].match(raw, stop)):
+                        stop = more.end()
                     done[rule] = stop
                     r = self.rules[rule]
                     if (_value_length(raw[start:stop]) if r.value_only else stop - start) >= r.least:
