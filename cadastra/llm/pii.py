@@ -2,7 +2,9 @@
 
 Validated numbers and dates are permuted within their format, so equal values stay linked across
 documents: card numbers that pass the mod-10 check keep their length, separators and check,
-other numbers keep their length and separators, dates keep their layout and stay calendar dates.
+other numbers keep their length and separators, dates keep their layout and stay calendar dates, host
+addresses (four octets up to 255 without leading zeros) are permuted as 32-bit values.  Dates that no
+calendar has and numbers that only look like addresses are permuted by their digits, among their like.
 Mail addresses keep a keyed digest as name, so they stay linked too.
 
 A text is cut into matches and the pieces between them; matches are mapped by one expression.
@@ -12,6 +14,8 @@ through and a column named like the result is replaced; long texts are mapped wh
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,13 +86,41 @@ def _refill(shape: Column, digits: Column) -> Column:
     return F.aggregate(F.split(shape, ""), zero, put, lambda a: a["out"])
 
 
+#: The dates that the pattern accepts, 1900-01-01 to 2099-12-31.
+FIRST_DAY, DAYS = "1900-01-01", 73049
+_OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_ADDRESS = rf"^(?:{_OCTET}\.){{3}}{_OCTET}$"
+
+
+def _walked(value: Column, once: Callable[[Column], Column], outside: Callable[[Column], Column], steps: int) -> Column:
+    """``once(value)``, and again while ``outside`` holds: the permutation within the values inside."""
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), once(value), lambda v, _: F.when(outside(v), once(v)).otherwise(v))
+
+
 def _date(value: Column, key: str) -> Column:
-    """A valid date permuted within the 36,500 days from 1950, walking the cycle back into them."""
-    start = F.lit("1950-01-01").cast("date")
-    day = F.pmod(F.datediff(F.try_to_timestamp(value, F.lit("yyyy-MM-dd")).cast("date"), start), F.lit(36500))
-    once = lambda d: permute_digits(d, f"{key}:date")
-    walked = F.aggregate(F.sequence(F.lit(0), F.lit(79)), once(F.lpad(day.cast("string"), 5, "0")), lambda d, _: F.when(d.cast("int") >= 36500, once(d)).otherwise(d))
-    return F.date_add(start, walked.cast("int") % 36500).cast("string")
+    """A date permuted within the days of the pattern; strings that are no date within the other strings of their layout."""
+    start = F.lit(FIRST_DAY).cast("date")
+    days = lambda v: F.datediff(F.try_to_timestamp(v, F.lit("yyyy-MM-dd")).cast("date"), start)
+    permuted = lambda d: permute_digits(d, f"{key}:date")
+    within = lambda d: F.date_add(start, _walked(F.lpad(d.cast("string"), 5, "0"), permuted, lambda x: x.cast("int") >= DAYS, 80).cast("int")).cast("string")
+    digits = lambda v: _refill(v, permute_digits(F.regexp_replace(v, "-", ""), key))
+    known = lambda v: days(v).between(0, DAYS - 1)
+    return F.coalesce(let(days(value), lambda d: F.when(d.isNotNull(), within(d))), _walked(value, digits, known, 8))
+
+
+def _address(value: Column, key: str) -> Column:
+    """A host address under a Feistel network over its 16-bit halves; other strings of the layout by their digits."""
+    parts = F.transform(F.split(value, "\\."), lambda x: x.cast("bigint"))
+    halves = let(parts, lambda p: F.struct((p[0] * 256 + p[1]).alias("l"), (p[2] * 256 + p[3]).alias("r")))
+
+    def step(s: Column, k: Column) -> Column:
+        turn = lambda target, by: F.pmod(target + _mix(f"{key}:ip", 0, by.cast("string"), k.cast("string")), F.lit(65536)).cast("bigint")
+        return F.when(k % 2 == 0, F.struct(turn(s["l"], s["r"]).alias("l"), s["r"].alias("r"))).otherwise(F.struct(s["l"].alias("l"), turn(s["r"], s["l"]).alias("r")))
+
+    octets = lambda s: F.concat_ws(".", *[x.cast("string") for h in ("l", "r") for x in (F.shiftright(s[h], 8), s[h] % 256)])
+    valid = F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), halves, step, octets)
+    digits = lambda v: _refill(v, permute_digits(F.regexp_replace(v, "\\.", ""), f"{key}:ip"))
+    return F.when(value.rlike(_ADDRESS), valid).otherwise(_walked(value, digits, lambda v: v.rlike(_ADDRESS), 400))
 
 
 def pseudonym(value: Column, key: str) -> Column:
@@ -96,9 +128,7 @@ def pseudonym(value: Column, key: str) -> Column:
     mail = F.concat(F.lit("u"), F.substring(F.sha2(F.concat(F.lit(f"{key}:mail:"), F.lower(value)), 256), 1, 12), F.lit("@example.com"))
     digits = F.regexp_replace(value, "[^0-9]", "")
     number = let(digits, lambda d: let(_number(d, key), lambda n: _refill(value, n)))
-    address = F.concat(F.lit("10."), F.array_join(F.transform(F.sequence(F.lit(0), F.lit(2)), lambda k: F.conv(F.substr(F.sha2(F.concat(F.lit(f"{key}:ip:"), value), 256), k * 2 + 1, F.lit(2)), 16, 10)), "."))
-    dated = F.coalesce(_date(value, key), number)
-    return F.when(F.contains(value, F.lit("@")), mail).when(value.rlike(r"^\d{4}-\d\d-\d\d$"), dated).when(value.rlike(r"^(?:\d{1,3}\.){3}\d{1,3}$"), address).otherwise(number)
+    return F.when(F.contains(value, F.lit("@")), mail).when(value.rlike(r"^\d{4}-\d\d-\d\d$"), _date(value, key)).when(value.rlike(r"^(?:\d{1,3}\.){3}\d{1,3}$"), _address(value, key)).otherwise(number)
 
 
 def pseudonymise(docs: DataFrame, key: str, text: str = "text", out: str = "text") -> DataFrame:

@@ -146,6 +146,22 @@ def test_pii(spark):
     assert "a@b.org" not in got[0] and "2020-02-29" not in got[0] and got[2:] == [None, ""]
 
 
+def test_pii_permutations(spark):
+    """Distinct dates and addresses keep distinct pseudonyms of their own format."""
+    days = spark.range(73049).select(F.date_add(F.lit("1900-01-01").cast("date"), F.col("id").cast("int")).cast("string").alias("v"))
+    odd = spark.createDataFrame([(f"{y}-02-{d}",) for y in range(1901, 2099, 2) for d in (29, 30, 31)], "v string")
+    dates = days.unionByName(odd).withColumn("p", pii.pseudonym(F.col("v"), "k")).persist()
+    assert dates.select("p").distinct().count() == dates.count()
+    assert dates.join(days, "v").join(days.withColumnRenamed("v", "p"), "p").count() == 73049
+    octet = lambda k: (F.floor(F.col("id") / 256**k) % 256).cast("string")
+    hosts = spark.range(0, 1 << 32, 107374).select(F.concat_ws(".", *[octet(k) for k in (3, 2, 1, 0)]).alias("v"))
+    odd = spark.createDataFrame([(v,) for v in ("300.1.2.3", "010.1.1.1", "01.2.3.4", "10.1.1.1", "1.2.3.4", "999.999.999.999")], "v string")
+    hosts = hosts.unionByName(odd).withColumn("p", pii.pseudonym(F.col("v"), "k")).persist()
+    assert hosts.select("p").distinct().count() == hosts.count() > 40000
+    valid = "^((25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])([.]|$)){4}$"
+    assert hosts.where(F.col("v").rlike(valid) != F.col("p").rlike(valid)).count() == 0
+
+
 def test_licenses(docs):
     got = {r.doc_id: r for r in licenses.scan_licenses(docs).collect()}
     assert sorted(p.label for p in got[10].places) == ["apache", "cc-by", "mit"] and min(p["at"] for p in got[10].places) == 0
