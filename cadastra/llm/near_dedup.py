@@ -12,6 +12,9 @@ Pairs pass a length bound and the union-sketch estimate before exact Jaccard on
 
 Defined cases: null, empty and blank texts have no shingles and stay alone; fewer than five words
 are one shingle; repeated rows are copies; extra columns pass through, result names are replaced.
+Every row is compared by its own text: rows without an id or with an id that others have too are judged
+each, and the id of a component is the smallest of its rows, null if none has one.  ``is_first`` marks one
+row of each component: of those with the smallest id, or of all if none has one, the first as read.
 """
 
 from __future__ import annotations
@@ -128,15 +131,18 @@ def _open(lists: DataFrame, labels: DataFrame, cut: Callable[[DataFrame], DataFr
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``docs`` with n_shingles and component_id (smallest ``key`` reachable)."""
+    """``docs`` with n_shingles, component_id (smallest ``key`` reachable) and is_first."""
     bounded_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession)
     cut, kept = scratch.cut, lambda df: scratch.cut(df, "kept")
-    features = kept(docs.select(key, features_of(F.col(text)).alias("f")).select(F.col(key).alias("doc"), "f.*"))
-    classes = kept(features.where("n > 0").groupBy("set_id").agg(F.min("doc").alias("id"), F.min(F.struct("n", "sketch")).alias("f")).select("set_id", "id", "f.*"))
+    passed = [c for c in docs.columns if c not in ("n_shingles", "component_id", "is_first")]
+    held = {c: f"_c{k}" for k, c in enumerate(passed)}
+    doc = F.col(held[key])
+    features = kept(docs.select(*[F.col(c).alias(x) for c, x in held.items()], features_of(F.col(text)).alias("f")).select(*held.values(), "f.*", F.monotonically_increasing_id().alias("row")))
+    classes = kept(features.where("n > 0").groupBy("set_id").agg(F.min("row").alias("id"), F.min(F.struct(doc.isNull().alias("none"), doc.alias("doc"), "row")).alias("least"), F.min(F.struct("n", "sketch")).alias("f")).select("set_id", "id", "least", "f.*"))
     lists = cut(inverted(classes))
     nodes = lists.select("id").distinct()
-    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("_t")).join(nodes, "id", "left_semi").dropDuplicates(["id"])
+    texts = features.select(F.col("row").alias("id"), F.col(held[text]).alias("_t")).join(nodes, "id", "left_semi")
     sets = cut(texts.select("id", set_of(F.col("_t")).alias("shingles")).join(classes.select("id", "n", "sketch"), "id"))
     tried = cut(_star(lists, lists.groupBy("value").agg(F.min("id").alias("leader"))))
     links = verify(tried, sets, cut)
@@ -162,9 +168,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     rest = cut(rest.join(tried, ["a", "b"], "left_anti"))
     labels = kept(merged(labels, verify(rest, sets, cut), cut))
     scratch.drop()
-    of_set = classes.join(labels, "id", "left").select("set_id", F.coalesce("comp", "id").alias("comp"))
-    of_doc = features.join(of_set, "set_id", "left").select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("comp", "doc").alias("component_id"))
-    passed = [c for c in docs.columns if c not in ("n_shingles", "component_id")]
+    placed = classes.join(labels, "id", "left").select("set_id", "least", F.coalesce("comp", "id").alias("comp"))
+    of_set = placed.select("set_id", "comp").join(placed.groupBy("comp").agg(F.min("least").alias("least")), "comp")
+    judged = features.select("row", doc.alias(key), "n", "set_id").join(of_set, "set_id", "left")
+    alone = F.col("least").isNull()
+    made = [F.col("n").alias("n_shingles"), F.when(alone, F.col(key)).otherwise(F.col("least.doc")).alias("component_id"), (alone | (F.col("row") == F.col("least.row"))).alias("is_first")]
     if passed == [key, text]:
-        return of_doc
-    return docs.select(*passed).join(of_doc.dropDuplicates([key]), key)
+        return judged.select(key, *made)
+    of_row = judged.select("row", *made)
+    return features.select("row", *[F.col(x).alias(c) for c, x in held.items()]).join(of_row, "row").select(*passed, "n_shingles", "component_id", "is_first")

@@ -97,7 +97,7 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    return found.select("doc_id", "n_shingles", "component_id", F.col("is_first").alias("kept"))
 
 
 def op8_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:

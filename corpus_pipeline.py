@@ -20,8 +20,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each near-duplicate component."""
-    return near_dedup.near_duplicates(docs).where("doc_id = component_id").select(*COLUMNS)
+    """One document of each near-duplicate component, that of smallest id; documents without an id are judged like others."""
+    return near_dedup.near_duplicates(docs).where("is_first").select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,6 +39,17 @@ def test_near_duplicates(docs):
     assert near_dedup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_dedup_keeps_rows_without_or_with_repeated_ids(spark):
+    import corpus_pipeline
+
+    word = lambda k, n=60: " ".join(f"{k}{j}" for j in range(n))
+    rows = [(None, word("a")), (None, word("b")), (None, word("b")), (1, word("c")), (None, word("c") + " tail"), (2, word("d")), (2, word("e")), (2, word("e")), (3, word("d") + " tail"), (None, ""), (None, None), (4, "")]
+    docs = spark.createDataFrame([(k, t, "x", "y", 1) for k, t in rows], "doc_id bigint, text string, lang string, source string, n_chars int")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.dedup(spark, docs, "").collect()]
+    want = [(None, word("a")), (None, word("b")), (1, word("c")), (2, word("d")), (2, word("e")), (None, ""), (None, None), (4, "")]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
 def test_decontamination(spark, docs):
     items = spark.createDataFrame([(1, "W5 w6, w7 w8 w9 w10 w11 w12 w13 w14 w15"), (2, "one two"), (3, None), (4, "absent words")], "item_id bigint, text string")
     got = {r.doc_id: (len(r.hit_at), r["items"]) for r in decontamination.mark(docs, items).collect()}
