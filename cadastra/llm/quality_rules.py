@@ -1,5 +1,9 @@
 """Quality rules: a threshold table compiled into one projection, without user functions.
 
+Word lengths are judged only in texts with as many Latin letters as others or more, and stop words only in
+those of them whose ``lang`` is English, German, French or Spanish, null, or not given; a text of another
+Latin language is told from one without function words by ``lang`` alone.  All other thresholds hold for every text.
+
 Defined cases: a null or empty text has no words, so it fails the base rule and is rejected;
 repeated rows are judged each; extra columns pass through and columns that already have a
 result's name are replaced.
@@ -26,22 +30,27 @@ STOP_WORDS = tuple(
 )
 
 
+#: Codes of these languages, with or without a region.
+LISTED = r"^(?i:en|eng|de|deu|ger|fr|fra|fre|es|spa)(?:[-_].*)?$"
+
+
 @dataclass(frozen=True)
 class Threshold:
-    """Rejects a text whose ``metric`` leaves [low, high], once it has ``from_words`` words."""
+    """Rejects a text whose ``metric`` leaves [low, high], once it has ``from_words`` words, where ``only`` holds."""
 
     metric: str
     low: float | None = None
     high: float | None = None
     from_words: int = 1
+    only: str | None = None
 
 
 THRESHOLDS = (
-    Threshold("mean_word_chars", 2.0, 20.0),
+    Threshold("mean_word_chars", 2.0, 20.0, only="latin"),
     Threshold("symbols_per_word", high=0.3),
     Threshold("shouts_per_word", high=0.5),
     Threshold("dup_line_ratio", high=0.5),
-    Threshold("stop_word_ratio", low=0.01, from_words=60),
+    Threshold("stop_word_ratio", low=0.01, from_words=60, only="listed"),
 )
 
 
@@ -66,8 +75,15 @@ def _repeat_words(ws: Column) -> Column:
     return F.when(n <= WINDOW, F.lit(0).cast("bigint")).otherwise(let(F.transform(F.sequence(F.lit(0), n - WINDOW), window), repeated))
 
 
-def measure(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the metrics that thresholds may name."""
+def _latin(text: Column) -> Column:
+    """Whether letters of other scripts are not more than Latin ones."""
+    letters = lambda t, other: F.length(F.regexp_replace(t, other, ""))
+    beyond = F.regexp_replace(text, r"[\x00-\x{24F}]++", "")
+    return let(letters(beyond, r"(?:[^\p{L}\p{M}]|\p{IsLatin})++"), lambda n: F.when(n == 0, True).otherwise(n <= letters(text, r"\P{IsLatin}++")))
+
+
+def measure(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """``docs`` with the metrics and conditions that thresholds may name."""
     t = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     long = lambda c: c.cast("bigint")
@@ -84,6 +100,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
             "n_dup_lines": long(F.size("_lines") - F.size(F.array_distinct("_lines"))),
             "n_repeat_words": _repeat_words(w),
             "_shouts": long(F.length(F.regexp_replace(t, "[^!]++", ""))),
+            "latin": _latin(t),
             "_stops": long(F.size(F.filter(w, lambda x: bare(x).isin(*dict.fromkeys(STOP_WORDS))))),
         }
     )
@@ -98,6 +115,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
             "shouts_per_word": ratio(c("_shouts"), c("n_words")),
             "dup_line_ratio": ratio(c("n_dup_lines"), c("n_lines")),
             "stop_word_ratio": ratio(c("_stops"), c("n_words")),
+            "listed": c("latin") & (F.coalesce(c(lang).rlike(LISTED), F.lit(True)) if lang in docs.columns else F.lit(True)),
         }
     ).drop("_words", "_lines", "_shouts", "_stops")
 
@@ -111,6 +129,8 @@ def verdict(table: tuple[Threshold, ...] = THRESHOLDS) -> Column:
             inside = inside & (F.col(r.metric) >= r.low)
         if r.high is not None:
             inside = inside & (F.col(r.metric) <= r.high)
+        if r.only is not None:
+            inside = inside | ~F.col(r.only)
         ok = ok & ((F.col("n_words") < r.from_words) | inside)
     return ok
 

@@ -23,7 +23,7 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality_rules.apply_rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 

@@ -31,6 +31,16 @@ def test_quality_rules(docs):
     assert quality_rules.apply_rules(docs).where("kept").count() == sum(r.kept for r in quality_rules.apply_rules(docs).collect())
 
 
+def test_quality_rules_leave_other_languages(spark):
+    dealt = random.Random(2)
+    made = lambda letters, n, size: " ".join("".join(dealt.choices(letters, k=size)) for _ in range(n))
+    cyrillic, kana, plain = "абвгдежзиклмнопрстуф", "あいうえおかきくけこ日本語", "bcdfghjklmz"
+    rows = [(made(cyrillic, 80, 6), "ru", True), (made("αβγδεζηθικλμν", 80, 6), None, True), (made(kana, 14, 40), "ja", True), (made(plain, 80, 6), "pl", True)]
+    rows += [(made(plain, 80, 6), "en", False), (made(plain, 80, 6), None, False), (made(plain, 14, 40), "pl", False), (made("0123456789", 80, 6), "de", False), (made(cyrillic, 80, 6).replace(" ", " ### "), "ru", False)]
+    got = quality_rules.apply_rules(spark.createDataFrame([(k, t, lang) for k, (t, lang, _) in enumerate(rows)], "doc_id int, text string, lang string")).orderBy("doc_id").collect()
+    assert [r.kept for r in got] == [keep for *_, keep in rows]
+
+
 def test_near_duplicates(docs):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(docs).collect()}
     assert got[4][1] == got[5][1] == got[6][1] == 4
