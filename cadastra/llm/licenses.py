@@ -1,6 +1,7 @@
 """License scan: ordered signature rules behind a keyword prefilter, as native expressions.
 
-Rules are the products of license names and statement forms.  A text is matched only against
+Rules are the products of license names and statement forms; the SPDX form takes SPDX identifiers only, each
+id of an expression on its own, and short names count only behind a statement that something is licensed.  A text is matched only against
 the rules whose keyword it contains.  Detections are ordered by start, longest first, then by
 priority; one whose interval lies inside an earlier one is suppressed.
 
@@ -57,9 +58,65 @@ NAMES = (
     ("wtfpl", "wtfpl", r"\bwtfpl\b"),
     ("zlib", "zlib", r"\bzlib licen[sc]e"),
 )
+#: Label and its identifiers in SPDX license expressions.
+SPDX = (
+    ("agpl", r"agpl-[13]\.0(?:-only|-or-later|\+)?"),
+    ("apache", r"apache-(?:1\.[01]|2\.0)\+?"),
+    ("artistic", r"artistic-[12]\.0(?:-perl|-cl8)?"),
+    ("boost", r"bsl-1\.0"),
+    ("bsd", r"(?:0bsd|bsd-[1-4]-clause(?:-[a-z0-9]+)*)"),
+    ("cc-by", r"cc-by-[1-4]\.[05]"),
+    ("cc-by-nc", r"cc-by-nc(?:-nd|-sa)?-[1-4]\.[05]"),
+    ("cc-by-nd", r"cc-by-nd-[1-4]\.[05]"),
+    ("cc-by-sa", r"cc-by-sa-[1-4]\.[05]"),
+    ("cc0", r"cc0-1\.0"),
+    ("cddl", r"cddl-1\.[01]"),
+    ("ecl", r"ecl-[12]\.0"),
+    ("epl", r"epl-[12]\.0"),
+    ("eupl", r"eupl-1\.[012]"),
+    ("gfdl", r"gfdl-1\.[123](?:-invariants|-no-invariants)?(?:-only|-or-later)?"),
+    ("gpl", r"gpl-[123]\.0(?:-only|-or-later|\+)?"),
+    ("isc", r"isc"),
+    ("lgpl", r"lgpl-(?:2\.[01]|3\.0)(?:-only|-or-later|\+)?"),
+    ("mit", r"mit(?:-0)?"),
+    ("mpl", r"mpl-(?:1\.[01]|2\.0)(?:-no-copyleft-exception)?"),
+    ("ms-pl", r"ms-pl"),
+    ("odbl", r"odbl-1\.0"),
+    ("ofl", r"ofl-1\.[01](?:-no-rfn|-rfn)?"),
+    ("osl", r"osl-(?:[12]\.[01]|3\.0)"),
+    ("psf", r"(?:psf|python)-2\.0(?:\.1)?"),
+    ("unlicense", r"unlicense"),
+    ("upl", r"upl-1\.0"),
+    ("wtfpl", r"wtfpl"),
+    ("zlib", r"zlib"),
+)
+#: Label, keyword and short name that means a license only behind a statement form.
+SHORT = (
+    ("apache", "apache", r"apache(?:[ -]v?[12](?:\.[01])?)?"),
+    ("artistic", "artistic", r"artistic(?:[ -]v?[12](?:\.0)?)?"),
+    ("boost", "boost", r"boost(?:[ -]v?1(?:\.0)?)?"),
+    ("boost", "bsl-1", r"bsl-1\.0"),
+    ("bsd", "bsd", r"(?:[0-4][ -]clause )?(?:0?bsd)"),
+    ("ecl", "ecl", r"ecl[ -]v?[12](?:\.0)?"),
+    ("epl", "epl", r"epl(?:[ -]v?[12](?:\.0)?)?"),
+    ("gfdl", "gfdl", r"gfdl(?:[ -]v?1\.[123])?"),
+    ("isc", "isc", r"isc"),
+    ("mit", "mit", r"mit(?:-0)?"),
+    ("mpl", "mpl", r"mpl(?:[ -]v?[12](?:\.[01])?)?"),
+    ("ms-pl", "ms-pl", r"ms-pl"),
+    ("odbl", "odbl", r"odbl(?:[ -]v?1(?:\.0)?)?"),
+    ("ofl", "ofl", r"(?:sil )?ofl(?:[ -]v?1\.[01])?"),
+    ("osl", "osl", r"osl(?:[ -]v?[123](?:\.[01])?)?"),
+    ("psf", "psf", r"psf(?:-2\.0)?"),
+    ("upl", "upl", r"upl(?:[ -]v?1(?:\.0)?)?"),
+    ("zlib", "zlib", r"zlib"),
+)
+MARK = "spdx-license-identifier"
+#: An identifier of the line that the mark begins; looked back for only where an identifier stands.
+SPDX_FORM = (r"(?<![\w.-]){}(?![\w+-]|\.\w)(?<=" + MARK + r":[^\n]{{0,200}})", 1.0)
+
 #: Statement forms from the most to the least explicit, with confidence.
 FORMS = (
-    (r"spdx-license-identifier:\s*{}", 1.0),
     (r"(?:licen[sc]ed|released|distributed|published|available) under (?:the )?(?:terms of )?(?:the )?{}", 0.98),
     (r"under the (?:terms|conditions) of (?:the )?{}", 0.95),
     (r"(?:see|read) (?:the )?{}(?: for details)", 0.85),
@@ -71,9 +128,11 @@ SCORE_BASE = 0.8
 
 
 def rules() -> list[tuple[int, str, str, str, float]]:
-    """(priority, label, keyword, pattern, confidence): every form of every name."""
-    made = [(form, label, key, form[0].format(name)) for form in FORMS for label, key, name in NAMES]
-    return [(k, label, key, pattern, form[1]) for k, (form, label, key, pattern) in enumerate(made)]
+    """(priority, label, keyword, pattern, confidence): SPDX identifiers, forms of names, forms of short names."""
+    made = [(SPDX_FORM, label, MARK, name) for label, name in SPDX]
+    made += [(form, label, key, name) for form in FORMS for label, key, name in NAMES]
+    made += [(form, label, key, name + r"(?![\w-])") for form in FORMS[:2] for label, key, name in SHORT]
+    return [(k, label, key, form[0].format(name), form[1]) for k, (form, label, key, name) in enumerate(made)]
 
 
 def _places(ws: Column, phrase: str) -> Column:
@@ -116,7 +175,7 @@ def _resolve(found: Column) -> Column:
 
 def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with n_words, places (word index, label), detected (labels, score, n)."""
-    keys = list(dict.fromkeys(key for _, key, _ in NAMES))
+    keys = list(dict.fromkeys(key for _, _, key, _, _ in rules()))
     lit_rules = F.array(*[F.struct(F.lit(k).alias("priority"), F.lit(lb).alias("label"), F.lit(key).alias("key"), F.lit(p).alias("pattern"), F.lit(s).alias("score")) for k, lb, key, p, s in rules()])
     low = ascii_lower(F.coalesce(F.col(text), F.lit("")))
     first = docs.withColumn("_low", low).withColumn("_words", words(F.col("_low"), NOT_WORD))

@@ -187,3 +187,12 @@ def test_licenses(docs):
     got = {r.doc_id: r for r in licenses.scan_licenses(docs).collect()}
     assert sorted(p.label for p in got[10].places) == ["apache", "cc-by", "mit"] and min(p["at"] for p in got[10].places) == 0
     assert len(licenses.rules()) > 200 and got[0].places == [] and got[4].detected.labels == []
+
+
+def test_license_identifiers_and_short_names(spark):
+    ids = "MIT mit;ISC isc;MPL-2.0 mpl;EPL-2.0 epl;BSL-1.0 boost;Zlib zlib;Artistic-2.0 artistic;OFL-1.1 ofl;UPL-1.0 upl;Apache-2.0 apache;GPL-3.0-or-later gpl;CC-BY-SA-4.0 cc-by-sa;BSD-3-Clause bsd;0BSD bsd"
+    want = [(f"x\n// SPDX-License-Identifier: {a}\ny", [b], 1.0) for a, b in (x.split() for x in ids.split(";"))]
+    want.append(("SPDX-License-Identifier: (MIT OR Apache-2.0) AND ISC", ["mit", "apache", "isc"], 1.0))
+    want += [("It is released under the MIT.", ["mit"], 0.98), ("licensed under BSD or MPL 2.0", ["bsd"], 0.98), ("fahren mit dem Bus, isc, zlib", [], 0.0), ("SPDX-License-Identifier: GPL-2.0\nmit", ["gpl"], 1.0)]
+    got = licenses.scan_licenses(spark.createDataFrame([(k, t) for k, (t, _, _) in enumerate(want)], "doc_id int, text string")).orderBy("doc_id").collect()
+    assert [(r.detected.labels, r.detected.score) for r in got] == [(x, y) for _, x, y in want]
