@@ -38,15 +38,23 @@ def q_fk_resolve(spark: SparkSession, d: str) -> DataFrame:
     return e.join(c, e.user_id == c.c_custkey, "left").select("event_id", "c_custkey", F.col("c_custkey").isNull().alias("dangling"))
 
 
-def q_or_join_union(spark: SparkSession, d: str) -> DataFrame:
-    """A join on either of two keys as the union of two equi-joins, each pair once."""
-    li, p = _t(spark, d, "lineitem"), _t(spark, d, "part").where("p_size <= 10").select("p_partkey")
+def _lines_of_parts(li: DataFrame, p: DataFrame) -> DataFrame:
     rows = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     by_part = rows.join(p, rows.l_partkey == p.p_partkey)
     by_supplier = rows.join(p, rows.l_suppkey == p.p_partkey).where("l_partkey <> l_suppkey")
     return by_part.unionAll(by_supplier).groupBy("p_partkey").agg(F.count("*").alias("n_lines"))
 
 
+def q_or_join_union(spark: SparkSession, d: str) -> DataFrame:
+    """A join on either of two keys as the union of two equi-joins, each pair once."""
+    return _lines_of_parts(_t(spark, d, "lineitem"), _t(spark, d, "part").where("p_size <= 10").select("p_partkey"))
+
+
+def q_or_join_whole(spark: SparkSession, d: str) -> DataFrame:
+    """The same join over all parts."""
+    return _lines_of_parts(_t(spark, d, "lineitem"), _t(spark, d, "part").select("p_partkey"))
+
+
 def q_exists_flag_or(spark: SparkSession, d: str) -> DataFrame:
     """Customers with an urgent order or a returned line."""
     o = _t(spark, d, "orders")
@@ -120,6 +128,7 @@ ORACLE = {
     "q_name_key_join": "SELECT p_partkey, k AS name_key, count(*) OVER (PARTITION BY k) AS n_same, min(p_partkey) OVER (PARTITION BY k) AS first_key FROM (SELECT p_partkey, upper(regexp_replace(p_name, '[^A-Za-z0-9]+', '', 'g')) AS k FROM part)",
     "q_fk_resolve": "SELECT event_id, c_custkey, c_custkey IS NULL AS dangling FROM events LEFT JOIN customer ON user_id = c_custkey",
     "q_or_join_union": "SELECT p_partkey, count(*) AS n_lines FROM lineitem JOIN part ON l_partkey = p_partkey OR l_suppkey = p_partkey WHERE p_size <= 10 GROUP BY 1",
+    "q_or_join_whole": "SELECT p_partkey, count(*) AS n_lines FROM lineitem JOIN part ON l_partkey = p_partkey OR l_suppkey = p_partkey GROUP BY 1",
     "q_exists_flag_or": "SELECT c_custkey, EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT') OR EXISTS (SELECT 1 FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_custkey = c_custkey AND l_returnflag = 'R') AS flag FROM customer",
     "q_row_distinct_guard": "SELECT o_orderkey, s, p FROM (SELECT *, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderstatus END AS s, CASE WHEN o_orderkey % 13 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS p FROM orders) WHERE o_orderstatus IS DISTINCT FROM s OR o_totalprice IS DISTINCT FROM p",
     "q_upsert_policy": f"SELECT user_id, coalesce(n.v, o.v) AS value, least(o.f, n.f) AS first_seen FROM ({_BATCH.format(0)}) o FULL JOIN ({_BATCH.format(1)}) n USING (user_id)",
