@@ -1,17 +1,24 @@
 """Near-duplicate components by bottom-k sketches, inverted lists and exact Jaccard.
 
 One 64-bit hash stands for each distinct five-word shingle; the sketch of a text is its ``K``
-smallest hashes.  Equal sets form a class first, so exact copies never meet each other.  Retained
-values are inverted into lists.  Linked texts share at least three eighths of their sketch but for
-odds below 1e-5, so by the prefix filter only the rarest ``n - 3n/8 + 1`` values of a sketch need be
-listed, and values of one class only are dropped.  Lists do not emit all their pairs: every list
-links its members to a leader (the smallest class, then the class with the most links, then others
-by hash, each for the members outside its component); only
-members of a list that are still in different components are paired afterwards, all of them.
-Pairs pass a length bound and the union-sketch estimate before exact Jaccard on full sets.
+smallest hashes.  Equal sets form a class first, so exact copies never meet each other.  Then:
+
+1. Retained values are inverted into lists.  Linked texts share at least three eighths of their
+   sketch but for odds below 1e-5, so by the prefix filter only the rarest ``n - 3n/8 + 1`` values of
+   a sketch need be listed, and values of one class only are dropped.  A list pairs its members with
+   its smallest class only, so pairs grow with the rows of the lists.  Pairs pass a length bound and
+   the union-sketch estimate before exact Jaccard on full sets; links make components.
+2. Classes in lists that still hold several components are open, and two classes of different
+   components that share a listed value are both open.  Their full sets are ordered by rarity and listed anew,
+   by value and size range of either side.  A set of ``n`` whose first common value with another stands at
+   position ``i`` links only with sets of at most ``(4n - 7i) / 3``, so the values of a passage that
+   many texts share no longer bring them together.  This step is an exact prefix and positional filter.
+   Again lists first pair with one leader of the largest component; then members of different
+   components that pass the positional bound are paired and verified.
 
 Defined cases: null, empty and blank texts have no shingles and stay alone; fewer than five words
-are one shingle; repeated rows are copies; extra columns pass through, result names are replaced.
+are one shingle; repeated rows are copies; extra columns pass through, result names are replaced; an empty
+table gives an empty result; long texts are hashed whole.
 Every row is compared by its own text: rows without an id or with an id that others have too are judged
 each, and the id of a component is the smallest of its rows, null if none has one.  ``is_first`` marks one
 row of each component: of those with the smallest id, or of all if none has one, the first as read.
@@ -19,11 +26,11 @@ row of each component: of those with the smallest id, or of all if none has one,
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,21 +38,28 @@ from pyspark.sql import functions as F
 from .common import Scratch, bounded_batches
 
 K, WIDTH, NUMERATOR, DENOMINATOR = 32, 5, 75, 100
-#: The estimate has a deviation below 0.077 at the threshold; this slack is five of them.
-SLACK = 0.385
-#: Rounds with one further leader per list before what is still apart is paired in full.
-LEADERS = 4
-_WORD = regex.compile(r"[^\x20\x09-\x0D]+")
-_FOLD = {c: c + 32 for c in range(65, 91)}
+#: The estimate has a deviation below 0.077 at the threshold; this floor lies five of them below 0.75.
+FLOOR = 0.365
+#: Ratio of the size ranges by which open lists are split.
+RANGE = 1.1
+_BASE, _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
+_HALF = np.uint64(33)
 
 
 def hashes(text: str | None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles of ``text``."""
-    ws = _WORD.findall(text.translate(_FOLD)) if text else []
+    # bytes are split on space and tab to carriage return, and folded in A-Z, exactly as words are defined here
+    ws = text.encode().lower().split() if text else []
     if not ws:
         return np.empty(0, np.int64)
-    grams = [" ".join(ws[k : k + WIDTH]) for k in range(max(1, len(ws) - WIDTH + 1))]
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(g.encode()) for g in set(grams)), np.uint64).view(np.int64))
+    words = np.fromiter(map(xxhash.xxh64_intdigest, ws), np.uint64, len(ws))
+    width = min(WIDTH, len(ws))
+    made = np.full(len(ws) - width + 1, width, np.uint64)
+    for k in range(width):
+        made = made * _BASE + words[k : len(ws) - width + 1 + k]
+    made = (made ^ (made >> _HALF)) * _MIX1
+    made = (made ^ (made >> _HALF)) * _MIX2
+    return np.unique((made ^ (made >> _HALF)).view(np.int64))
 
 
 def features_of(text: Column) -> Column:
@@ -70,6 +84,10 @@ def set_of(text: Column) -> Column:
     return made(text)
 
 
+def _pair(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
 def inverted(classes: DataFrame) -> DataFrame:
     """(value, id) rows of the rarest values that a linked pair cannot all miss."""
     rows = classes.select("id", F.size("sketch").alias("s"), F.explode("sketch").alias("value"))
@@ -81,37 +99,27 @@ def inverted(classes: DataFrame) -> DataFrame:
 
 
 def verify(pairs: DataFrame, sets: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Pairs (a, b) whose exact Jaccard reaches the threshold."""
-    side = lambda x: sets.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"k{x}"), F.col("shingles").alias(f"s{x}"))
-    size = pairs.join(sets.select(F.col("id").alias("a"), F.col("n").alias("na")), "a").join(sets.select(F.col("id").alias("b"), F.col("n").alias("nb")), "b")
-    near = size.where(F.least("na", "nb") * DENOMINATOR >= F.greatest("na", "nb") * NUMERATOR).select("a", "b")
-    both = near.join(side("a"), "a").join(side("b"), "b")
+    """Pairs (a, b) whose exact Jaccard reaches the threshold; full sets are fetched for those that the sketches let pass."""
+    brief = lambda x: sets.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"k{x}"))
     union = F.slice(F.sort_array(F.array_union("ka", "kb")), 1, K)
     estimate = F.size(F.array_intersect(F.array_intersect("ka", "kb"), union)) / F.size(union)
+    alike = F.least("na", "nb") * DENOMINATOR >= F.greatest("na", "nb") * NUMERATOR
+    near = cut(pairs.join(brief("a"), "a").join(brief("b"), "b").where(alike & (estimate >= FLOOR)).select("a", "b", "na", "nb"))
+    whole = lambda x: sets.select(F.col("id").alias(x), F.col("shingles").alias(f"s{x}"))
     common = F.size(F.array_intersect("sa", "sb"))
     exact = common * DENOMINATOR >= (F.col("na") + F.col("nb") - common) * NUMERATOR
-    return cut(both.where(F.when(estimate >= SLACK, exact).otherwise(False)).select("a", "b"))
-
-
-def merged(labels: DataFrame, edges: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``labels`` after further ``edges``: only the components that these join are worked on."""
-    end = lambda x: labels.select(F.col("id").alias(x), F.col("comp").alias(f"c{x}"))
-    joined = edges.join(end("a"), "a").join(end("b"), "b").where("ca != cb")
-    between = cut(joined.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct())
-    if between.isEmpty():
-        return labels
-    tops = components(between.select(F.explode(F.array("a", "b")).alias("id")).distinct(), between, cut)
-    return cut(labels.join(tops.select(F.col("id").alias("comp"), F.col("comp").alias("top")), "comp", "left").select("id", F.coalesce("top", "comp").alias("comp")))
+    return cut(near.join(whole("a"), "a").join(whole("b"), "b").where(exact).select("a", "b"))
 
 
 def components(nodes: DataFrame, edges: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(id, comp) with the smallest id reachable, by minimum labels and pointer jumping."""
     ways = cut(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(nodes.select("id", F.col("id").alias("comp")))
+    first = ways.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("near"))
+    labels = cut(nodes.join(first, "id", "left").select("id", F.least("id", "near").alias("comp")))
     while True:
         offered = ways.join(labels.select(F.col("id").alias("b"), "comp"), "b").groupBy(F.col("a").alias("id")).agg(F.min("comp").alias("near"))
         better = labels.join(offered, "id", "left").select("id", F.col("comp").alias("old"), F.least("comp", "near").alias("comp"))
-        jump = better.select(F.col("id").alias("comp"), F.col("comp").alias("far"))
+        jump = labels.select(F.col("id").alias("comp"), F.col("comp").alias("far"))
         new = cut(better.join(jump, "comp", "left").select("id", "old", F.least("comp", "far").alias("comp")))
         moved = not new.where("comp < old").isEmpty()
         labels = new.select("id", "comp")
@@ -119,15 +127,74 @@ def components(nodes: DataFrame, edges: DataFrame, cut: Callable[[DataFrame], Da
             return labels
 
 
-def _star(lists: DataFrame, leaders: DataFrame) -> DataFrame:
-    return lists.join(leaders, "value").where("id != leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
+def merged(labels: DataFrame, edges: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``labels`` after further ``edges``: only the components that these join are worked on."""
+    end = lambda x: labels.select(F.col("id").alias(x), F.col("comp").alias(f"c{x}"))
+    joined = edges.join(end("a"), "a").join(end("b"), "b").where("ca != cb")
+    between = cut(joined.select(*_pair("ca", "cb")).distinct())
+    if between.isEmpty():
+        return labels
+    tops = components(between.select(F.explode(F.array("a", "b")).alias("id")).distinct(), between, cut)
+    return cut(labels.join(tops.select(F.col("id").alias("comp"), F.col("comp").alias("top")), "comp", "left").select("id", F.coalesce("top", "comp").alias("comp")))
 
 
-def _open(lists: DataFrame, labels: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Rows (value, id, comp) of the lists that hold several components."""
+def positional(sets: DataFrame, labels: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Rows (list, low, id, n, at) of the prefix values of full sets, listed by value and the size ranges of both sides.
+
+    ``low`` rows stand on the side of the smaller range.  Values that one class or one component only has are left out,
+    after the positions of all values are known.
+    """
+    rows = sets.join(labels, "id").select("id", "n", "comp", F.explode("shingles").alias("value"))
+    seen = rows.groupBy("value").agg(F.count("*").alias("df"), (F.min("comp") < F.max("comp")).alias("mixed")).where("df > 1")
+    shared = rows.join(seen, "value").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "value", "mixed"))).alias("v"))
+    alone = F.col("n") - F.size("v")
+    take = (F.col("n") - F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) + 1 - alone).cast("int")
+    prefix = shared.where(take > 0).select("id", "n", alone.alias("alone"), F.posexplode(F.slice("v", 1, take)).alias("at", "v"))
+    found = prefix.where("v.mixed").select("id", "n", (F.col("at") + F.col("alone")).alias("at"), "v.value")
+    size = lambda x: F.floor(F.log(x) / math.log(RANGE))
+    most = F.floor((F.lit(4) * F.col("n") - F.lit(7) * F.col("at")) / 3)
+    ranged = found.select("id", "n", "at", "value", size(F.col("n")).alias("own"), size(F.ceil(F.col("n") * NUMERATOR / DENOMINATOR)).alias("lo"), size(F.greatest(most, F.lit(1))).alias("hi"))
+    low = ranged.where("hi >= own").select("id", "n", "at", "value", F.col("own").alias("x"), F.explode(F.sequence("own", "hi")).alias("y"), F.lit(True).alias("low"))
+    high = ranged.where("least(hi, own) >= lo").select("id", "n", "at", "value", F.explode(F.sequence("lo", F.least("hi", "own"))).alias("x"), F.col("own").alias("y"), F.lit(False).alias("low"))
+    return cut(low.unionByName(high).select(F.xxhash64("value", "x", "y").alias("list"), "low", "id", "n", "at"))
+
+
+def _mixed(lists: DataFrame, labels: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Rows of the lists that hold several components, with their component and the largest one of the list."""
+    placed = lists.join(labels.join(labels.groupBy("comp").agg(F.count("*").alias("m")), "comp"), "id")
+    of_list = placed.groupBy("list").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.max(F.struct("m", "comp")).alias("main"))
+    return cut(placed.drop("m").join(of_list.where("least < most").select("list", F.col("main.comp").alias("main")), "list"))
+
+
+def _across(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs of members of different components whose positions allow a link."""
+    lo = left.select("list", *[F.col(c).alias(f"{c}1") for c in ("id", "n", "at", "comp")])
+    hi = right.select("list", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "at", "comp")])
+    reach = F.least(F.col("n1") - F.col("at1"), F.col("n2") - F.col("at2")) * (DENOMINATOR + NUMERATOR)
+    return lo.join(hi, "list").where((F.col("comp1") != F.col("comp2")) & (reach >= (F.col("n1") + F.col("n2")) * NUMERATOR)).select(*_pair("id1", "id2"))
+
+
+def linked_components(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(id, comp) of the classes that share a listed value with others; ``sets_of`` gives (id, n, sketch, shingles) for ids."""
+    lists = cut(inverted(classes))
+    nodes = cut(lists.select("id").distinct())
+    sets = cut(sets_of(nodes))
+    leaders = lists.groupBy("value").agg(F.min("id").alias("leader"))
+    star = lists.join(leaders, "value").where("id != leader").select(*_pair("id", "leader")).distinct()
+    labels = components(nodes, verify(star, sets, cut), cut)
     placed = lists.join(labels, "id")
-    mixed = placed.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("value")
-    return cut(placed.join(mixed, "value"))
+    mixed = placed.groupBy("value").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most")
+    unsettled = cut(placed.join(mixed, "value", "left_semi").select("id").distinct())
+    if unsettled.isEmpty():
+        return labels
+    listed = positional(sets.join(unsettled, "id"), labels, cut)
+    rows = _mixed(listed, labels, cut)
+    chosen = rows.where("not low").groupBy("list").agg(F.min_by(F.struct("id", "n", "at", "comp"), F.struct(F.col("comp") != F.col("main"), F.xxhash64("id"))).alias("l")).select("list", "l.*")
+    labels = merged(labels, verify(cut(_across(rows.where("low"), chosen).distinct()), sets, cut), cut)
+    rows = _mixed(listed, labels, cut)
+    low, high, main = rows.where("low"), rows.where("not low"), F.col("comp") == F.col("main")
+    rest = _across(low.where(~main), high).unionByName(_across(low.where(main), high.where(~main)))
+    return merged(labels, verify(cut(rest.distinct()), sets, cut), cut)
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -139,41 +206,17 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     held = {c: f"_c{k}" for k, c in enumerate(passed)}
     doc = F.col(held[key])
     features = kept(docs.select(*[F.col(c).alias(x) for c, x in held.items()], features_of(F.col(text)).alias("f")).select(*held.values(), "f.*", F.monotonically_increasing_id().alias("row")))
-    classes = kept(features.where("n > 0").groupBy("set_id").agg(F.min("row").alias("id"), F.min(F.struct(doc.isNull().alias("none"), doc.alias("doc"), "row")).alias("least"), F.min(F.struct("n", "sketch")).alias("f")).select("set_id", "id", "least", "f.*"))
-    lists = cut(inverted(classes))
-    nodes = lists.select("id").distinct()
-    texts = features.select(F.col("row").alias("id"), F.col(held[text]).alias("_t")).join(nodes, "id", "left_semi")
-    sets = cut(texts.select("id", set_of(F.col("_t")).alias("shingles")).join(classes.select("id", "n", "sketch"), "id"))
-    tried = cut(_star(lists, lists.groupBy("value").agg(F.min("id").alias("leader"))))
-    links = verify(tried, sets, cut)
-    degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("d"))
-    hubs = lists.join(degree, "id").groupBy("value").agg(F.max_by("id", F.struct("d", "id")).alias("leader"))
-    second = cut(_star(lists, hubs).join(tried, ["a", "b"], "left_anti"))
-    links = links.unionByName(verify(second, sets, cut))
-    tried = tried.unionByName(second)
-    labels = components(nodes, links, cut)
-    for k in range(LEADERS):
-        open_ = _open(lists, labels, cut)
-        leaders = open_.groupBy("value").agg(F.min_by(F.struct("id", "comp"), F.xxhash64("id", F.lit(k))).alias("l"))
-        apart = open_.join(leaders, "value").where(F.col("comp") != F.col("l.comp"))
-        more = apart.select(F.least("id", "l.id").alias("a"), F.greatest("id", "l.id").alias("b")).distinct()
-        more = cut(more.join(tried, ["a", "b"], "left_anti"))
-        if more.isEmpty():
-            break
-        tried, labels = tried.unionByName(more), merged(labels, verify(more, sets, cut), cut)
-    open_ = _open(lists, labels, cut)
-    left = open_.select("value", F.col("id").alias("a"), F.col("comp").alias("ca"))
-    right = open_.select("value", F.col("id").alias("b"), F.col("comp").alias("cb"))
-    rest = left.join(right, "value").where("a < b and ca != cb").select("a", "b").distinct()
-    rest = cut(rest.join(tried, ["a", "b"], "left_anti"))
-    labels = kept(merged(labels, verify(rest, sets, cut), cut))
-    scratch.drop()
+    classes = cut(features.where("n > 0").groupBy("set_id").agg(F.min("row").alias("id"), F.min(F.struct(doc.isNull().alias("none"), doc.alias("doc"), "row")).alias("least"), F.min(F.struct("n", "sketch")).alias("f")).select("set_id", "id", "least", "f.*"))
+
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        texts = features.select(F.col("row").alias("id"), F.col(held[text]).alias("_t"), "n", "sketch").join(nodes, "id", "left_semi")
+        return texts.select("id", "n", "sketch", set_of(F.col("_t")).alias("shingles"))
+
+    labels = linked_components(classes, sets_of, cut)
     placed = classes.join(labels, "id", "left").select("set_id", "least", F.coalesce("comp", "id").alias("comp"))
-    of_set = placed.select("set_id", "comp").join(placed.groupBy("comp").agg(F.min("least").alias("least")), "comp")
-    judged = features.select("row", doc.alias(key), "n", "set_id").join(of_set, "set_id", "left")
+    of_set = kept(placed.select("set_id", "comp").join(placed.groupBy("comp").agg(F.min("least").alias("least")), "comp"))
+    scratch.drop()
+    judged = features.join(of_set, "set_id", "left")
     alone = F.col("least").isNull()
-    made = [F.col("n").alias("n_shingles"), F.when(alone, F.col(key)).otherwise(F.col("least.doc")).alias("component_id"), (alone | (F.col("row") == F.col("least.row"))).alias("is_first")]
-    if passed == [key, text]:
-        return judged.select(key, *made)
-    of_row = judged.select("row", *made)
-    return features.select("row", *[F.col(x).alias(c) for c, x in held.items()]).join(of_row, "row").select(*passed, "n_shingles", "component_id", "is_first")
+    made = [F.col("n").alias("n_shingles"), F.when(alone, doc).otherwise(F.col("least.doc")).alias("component_id"), (alone | (F.col("row") == F.col("least.row"))).alias("is_first")]
+    return judged.select(*[F.col(x).alias(c) for c, x in held.items()], *made)
