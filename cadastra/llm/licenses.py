@@ -1,12 +1,13 @@
 """License scan: ordered signature rules behind a keyword prefilter, as native expressions.
 
-Rules are the products of license names and statement forms; the SPDX form takes SPDX identifiers only, each
-id of an expression on its own, and short names count only behind a statement that something is licensed.  A text is matched only against
-the rules whose keyword it contains.  Detections are ordered by start, longest first, then by
-priority; one whose interval lies inside an earlier one is suppressed.
-
-Defined cases: a null or empty text has no words and no labels; repeated rows are scanned each;
-extra columns pass through and columns that already have a result's name are replaced.
+Rules are the hand-written signatures of ``license_signatures``: SPDX identifiers, grants, notices, addresses,
+statements and names, in order of priority.  A text is matched only against the rules whose keyword it
+contains, with blanks and comment marks between the words of a keyword taken as one blank.  Detections are ordered by start, longest first, then by priority; one whose interval lies inside an
+earlier one is suppressed, so an equal interval goes to the rule of higher priority.
+
+Defined cases: a null or empty text has no words and no labels; repeated rows are scanned each; an empty
+table gives an empty result; extra columns pass through, whatever their names, and columns that have a
+result's name in any case are replaced; long texts are scanned whole.
 """
 
 from __future__ import annotations
@@ -14,127 +15,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh, passed
+from .license_signatures import BLANK, rules
 from .text import NOT_WORD, ascii_lower, let, words
 
 #: Phrases that always count, with their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
-#: Label, keyword that every match contains, name as a pattern over lower-case text.
-NAMES = (
-    ("agpl", "affero", r"(?:gnu )?affero general public licen[sc]e"),
-    ("agpl", "agpl", r"\bagpl(?:v?-?[123](?:\.0)?)?\b"),
-    ("apache", "apache", r"apache(?: software)? licen[sc]e"),
-    ("apache", "apache-2", r"\bapache-2\.0\b"),
-    ("artistic", "artistic", r"\bartistic licen[sc]e"),
-    ("boost", "boost", r"\bboost software licen[sc]e"),
-    ("bsd", "bsd", r"\b(?:[234]-clause )?bsd(?:-[234]-clause| licen[sc]e)"),
-    ("cc-by", "attribution", r"creative commons attribution"),
-    ("cc-by", "cc", r"\bcc[ -]by\b"),
-    ("cc-by-nc", "cc", r"\bcc[ -]by-nc\b"),
-    ("cc-by-nd", "cc", r"\bcc[ -]by-nd\b"),
-    ("cc-by-sa", "cc", r"\bcc[ -]by-sa\b"),
-    ("cc0", "cc0", r"\bcc0(?:-1\.0| 1\.0)?\b"),
-    ("cddl", "cddl", r"\bcddl\b"),
-    ("ecl", "educational community", r"educational community licen[sc]e"),
-    ("epl", "eclipse", r"eclipse public licen[sc]e"),
-    ("eupl", "eupl", r"\beupl\b"),
-    ("gfdl", "free documentation", r"(?:gnu )?free documentation licen[sc]e"),
-    ("gpl", "general public", r"(?:gnu )?general public licen[sc]e"),
-    ("gpl", "gpl", r"\bgpl(?:v?-?[123](?:\.0)?)?\b"),
-    ("isc", "isc", r"\bisc licen[sc]e"),
-    ("lgpl", "lesser general", r"(?:gnu )?lesser general public licen[sc]e"),
-    ("lgpl", "lgpl", r"\blgpl(?:v?-?[23](?:\.[01])?)?\b"),
-    ("mit", "mit", r"\bmit licen[sc]e"),
-    ("mpl", "mozilla", r"mozilla public licen[sc]e"),
-    ("ms-pl", "microsoft public", r"microsoft public licen[sc]e"),
-    ("odbl", "open database", r"open database licen[sc]e"),
-    ("ofl", "open font", r"(?:sil )?open font licen[sc]e"),
-    ("osl", "open software", r"open software licen[sc]e"),
-    ("proprietary", "all rights reserved", r"all rights reserved"),
-    ("psf", "python software", r"python software foundation licen[sc]e"),
-    ("public-domain", "public domain", r"public domain"),
-    ("unlicense", "unlicense", r"\bunlicense\b"),
-    ("upl", "universal permissive", r"universal permissive licen[sc]e"),
-    ("wtfpl", "wtfpl", r"\bwtfpl\b"),
-    ("zlib", "zlib", r"\bzlib licen[sc]e"),
-)
-#: Label and its identifiers in SPDX license expressions.
-SPDX = (
-    ("agpl", r"agpl-[13]\.0(?:-only|-or-later|\+)?"),
-    ("apache", r"apache-(?:1\.[01]|2\.0)\+?"),
-    ("artistic", r"artistic-[12]\.0(?:-perl|-cl8)?"),
-    ("boost", r"bsl-1\.0"),
-    ("bsd", r"(?:0bsd|bsd-[1-4]-clause(?:-[a-z0-9]+)*)"),
-    ("cc-by", r"cc-by-[1-4]\.[05]"),
-    ("cc-by-nc", r"cc-by-nc(?:-nd|-sa)?-[1-4]\.[05]"),
-    ("cc-by-nd", r"cc-by-nd-[1-4]\.[05]"),
-    ("cc-by-sa", r"cc-by-sa-[1-4]\.[05]"),
-    ("cc0", r"cc0-1\.0"),
-    ("cddl", r"cddl-1\.[01]"),
-    ("ecl", r"ecl-[12]\.0"),
-    ("epl", r"epl-[12]\.0"),
-    ("eupl", r"eupl-1\.[012]"),
-    ("gfdl", r"gfdl-1\.[123](?:-invariants|-no-invariants)?(?:-only|-or-later)?"),
-    ("gpl", r"gpl-[123]\.0(?:-only|-or-later|\+)?"),
-    ("isc", r"isc"),
-    ("lgpl", r"lgpl-(?:2\.[01]|3\.0)(?:-only|-or-later|\+)?"),
-    ("mit", r"mit(?:-0)?"),
-    ("mpl", r"mpl-(?:1\.[01]|2\.0)(?:-no-copyleft-exception)?"),
-    ("ms-pl", r"ms-pl"),
-    ("odbl", r"odbl-1\.0"),
-    ("ofl", r"ofl-1\.[01](?:-no-rfn|-rfn)?"),
-    ("osl", r"osl-(?:[12]\.[01]|3\.0)"),
-    ("psf", r"(?:psf|python)-2\.0(?:\.1)?"),
-    ("unlicense", r"unlicense"),
-    ("upl", r"upl-1\.0"),
-    ("wtfpl", r"wtfpl"),
-    ("zlib", r"zlib"),
-)
-#: Label, keyword and short name that means a license only behind a statement form.
-SHORT = (
-    ("apache", "apache", r"apache(?:[ -]v?[12](?:\.[01])?)?"),
-    ("artistic", "artistic", r"artistic(?:[ -]v?[12](?:\.0)?)?"),
-    ("boost", "boost", r"boost(?:[ -]v?1(?:\.0)?)?"),
-    ("boost", "bsl-1", r"bsl-1\.0"),
-    ("bsd", "bsd", r"(?:[0-4][ -]clause )?(?:0?bsd)"),
-    ("ecl", "ecl", r"ecl[ -]v?[12](?:\.0)?"),
-    ("epl", "epl", r"epl(?:[ -]v?[12](?:\.0)?)?"),
-    ("gfdl", "gfdl", r"gfdl(?:[ -]v?1\.[123])?"),
-    ("isc", "isc", r"isc"),
-    ("mit", "mit", r"mit(?:-0)?"),
-    ("mpl", "mpl", r"mpl(?:[ -]v?[12](?:\.[01])?)?"),
-    ("ms-pl", "ms-pl", r"ms-pl"),
-    ("odbl", "odbl", r"odbl(?:[ -]v?1(?:\.0)?)?"),
-    ("ofl", "ofl", r"(?:sil )?ofl(?:[ -]v?1\.[01])?"),
-    ("osl", "osl", r"osl(?:[ -]v?[123](?:\.[01])?)?"),
-    ("psf", "psf", r"psf(?:-2\.0)?"),
-    ("upl", "upl", r"upl(?:[ -]v?1(?:\.0)?)?"),
-    ("zlib", "zlib", r"zlib"),
-)
-MARK = "spdx-license-identifier"
-#: An identifier of the line that the mark begins; looked back for only where an identifier stands.
-SPDX_FORM = (r"(?<![\w.-]){}(?![\w+-]|\.\w)(?<=" + MARK + r":[^\n]{{0,200}})", 1.0)
-
-#: Statement forms from the most to the least explicit, with confidence.
-FORMS = (
-    (r"(?:licen[sc]ed|released|distributed|published|available) under (?:the )?(?:terms of )?(?:the )?{}", 0.98),
-    (r"under the (?:terms|conditions) of (?:the )?{}", 0.95),
-    (r"(?:see|read) (?:the )?{}(?: for details)", 0.85),
-    (r"{},? (?:version|v\.?) ?[0-9][0-9.]*(?: or (?:any )?later)?", 0.9),
-    (r"(?:copy of|subject to) the {}", 0.85),
-    (r"{}", 0.7),
-)
 SCORE_BASE = 0.8
 
 
-def rules() -> list[tuple[int, str, str, str, float]]:
-    """(priority, label, keyword, pattern, confidence): SPDX identifiers, forms of names, forms of short names."""
-    made = [(SPDX_FORM, label, MARK, name) for label, name in SPDX]
-    made += [(form, label, key, name) for form in FORMS for label, key, name in NAMES]
-    made += [(form, label, key, name + r"(?![\w-])") for form in FORMS[:2] for label, key, name in SHORT]
-    return [(k, label, key, form[0].format(name), form[1]) for k, (form, label, key, name) in enumerate(made)]
-
-
 def _places(ws: Column, phrase: str) -> Column:
     parts = phrase.split()
     stands = lambda i: F.forall(F.array(*[F.get(ws, i + k) == w for k, w in enumerate(parts)]), lambda x: F.coalesce(x, F.lit(False)))
@@ -178,10 +68,12 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     keys = list(dict.fromkeys(key for _, _, key, _, _ in rules()))
     lit_rules = F.array(*[F.struct(F.lit(k).alias("priority"), F.lit(lb).alias("label"), F.lit(key).alias("key"), F.lit(p).alias("pattern"), F.lit(s).alias("score")) for k, lb, key, p, s in rules()])
     low = ascii_lower(F.coalesce(F.col(text), F.lit("")))
-    first = docs.withColumn("_low", low).withColumn("_words", words(F.col("_low"), NOT_WORD))
-    gate = F.filter(F.array(*[F.when(F.contains(F.col("_low"), F.lit(k)), F.lit(k)) for k in keys]), lambda k: k.isNotNull())
+    made = ("n_words", "places", "detected")
+    folded, flat, cut = fresh(docs, "_low", "_flat", "_words")
+    first = docs.select(*passed(docs, *made), low.alias(folded)).withColumn(flat, F.regexp_replace(folded, BLANK, " ")).withColumn(cut, words(F.col(folded), NOT_WORD))
+    gate = F.filter(F.array(*[F.when(F.contains(F.col(flat if " " in k else folded), F.lit(k)), F.lit(k)) for k in keys]), lambda k: k.isNotNull())
     none = F.array().cast("array<struct<at:int,label:string>>")
-    base = F.flatten(F.array(*[F.when(F.contains(F.col("_low"), F.lit(p.split()[-1])), let(F.col("_words"), _of(p))).otherwise(none) for p in BASE]))
+    base = F.flatten(F.array(*[F.when(F.contains(F.col(folded), F.lit(p.split()[-1])), let(F.col(cut), _of(p))).otherwise(none) for p in BASE]))
     active = lambda ks: F.filter(lit_rules, lambda r: F.array_contains(ks, r["key"]))
-    spans = let(gate, lambda ks: F.when(F.size(ks) == 0, F.array().cast("array<struct<start:int,stop:int,priority:int,label:string,score:double>>")).otherwise(F.flatten(F.transform(active(ks), lambda r: _detections(F.col("_low"), r)))))
-    return first.withColumns({"n_words": F.size("_words").cast("bigint"), "places": base, "detected": _resolve(spans)}).drop("_low", "_words")
+    spans = let(gate, lambda ks: F.when(F.size(ks) == 0, F.array().cast("array<struct<start:int,stop:int,priority:int,label:string,score:double>>")).otherwise(F.flatten(F.transform(active(ks), lambda r: _detections(F.col(folded), r)))))
+    return first.withColumns({"n_words": F.size(cut).cast("bigint"), "places": base, "detected": _resolve(spans)}).drop(folded, flat, cut)
