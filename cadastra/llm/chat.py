@@ -6,8 +6,11 @@ conflicts is escaped (``~`` to ``~0``, ``<|`` to ``~1``, so no control string is
 always parses to the source.  All steps are native expressions and run per turn; only finished
 turns are gathered per conversation, whose output is one string by contract.
 
+The whole conversation is parsed once more and compared with its turns; a difference raises an error.
+
 Defined cases: null role or text is empty; turns sort by turn, role, text, null turns first;
-repeated rows are repeated turns; an empty table has no conversations.
+repeated rows are repeated turns; rows without a conv_id form one conversation; an empty table has no
+conversations; a text of any length is one turn; other columns have no place in a conversation and are left out.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ def render(role: Column, text: Column, mode: str) -> Column:
 
 
 def parse(formatted: Column) -> Column:
-    """Turns (role, text, text_in_output) of a formatted string, by the grammar alone."""
+    """Turns (role, text, chars in the output) of a formatted string, by the grammar alone."""
     parts = F.filter(F.split(formatted, r"<\|end\|>\n"), lambda p: p != "")
 
     def turn(p: Column) -> Column:
@@ -55,4 +58,7 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     same = (F.size(parsed) == 1) & (parsed[0]["role"] == F.col("role")) & (parsed[0]["text"] == F.col("text")) & ~F.contains(F.col("text"), F.lit("<|"))
     done = raw.withColumn("out", F.when(F.coalesce(same, F.lit(False)), F.col("raw")).otherwise(render(F.col("role"), F.col("text"), "e")))
     gathered = done.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text", "out"))).alias("t"))
-    return gathered.select("conv_id", F.array_join(F.transform("t", lambda x: x["out"]), "").alias("formatted")).withColumn("turns", parse(F.col("formatted")))
+    formatted = gathered.select("conv_id", "t", F.array_join(F.transform("t", lambda x: x["out"]), "").alias("formatted")).withColumn("turns", parse(F.col("formatted")))
+    pair = lambda turns: F.transform(turns, lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text")))
+    checked = F.when(pair("turns") == pair("t"), F.col("turns")).otherwise(F.raise_error(F.lit("a formatted conversation does not parse to its turns")))
+    return formatted.select("conv_id", "formatted", checked.alias("turns"))

@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows and bytes in one Arrow batch: what a Python worker holds at a time stays bounded
 #: however long single texts are.
@@ -25,11 +26,30 @@ def bounded_batches(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder only where none is configured."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    """The cluster's ``spark.checkpoint.dir``; a temporary folder only in local mode where none is configured."""
+    conf = spark.sparkContext.getConf()
+    shared = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
+    if not shared and not conf.get("spark.master", "").startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return shared or os.path.join(tempfile.gettempdir(), "cadastra-checkpoints")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for temporary columns that no column of ``df`` has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
+def passed(df: DataFrame, *results: str) -> list[Column]:
+    """The columns of ``df`` but those that have a result's name, in whatever case."""
+    replaced = {r.lower() for r in results}
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c.lower() not in replaced]
+
+
 class Scratch:
     """Tables written to the shared folder: they cut the lineage and outlive executors."""
 

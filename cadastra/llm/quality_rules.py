@@ -5,8 +5,8 @@ those of them whose ``lang`` is English, German, French or Spanish, null, or not
 Latin language is told from one without function words by ``lang`` alone.  All other thresholds hold for every text.
 
 Defined cases: a null or empty text has no words, so it fails the base rule and is rejected;
-repeated rows are judged each; extra columns pass through and columns that already have a
-result's name are replaced.
+repeated rows are judged each; an empty table gives an empty result; extra columns pass through,
+whatever their names, and columns that have a result's name in any case are replaced.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh, passed
 from .text import BLANKS, let, total, words
 
 SYMBOLS = "#*$%&|<>"
@@ -88,36 +89,40 @@ def measure(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFram
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     long = lambda c: c.cast("bigint")
     ratio = lambda a, b: F.when(b == 0, F.lit(0.0)).otherwise(a / b)
-    first = docs.withColumns({"_words": words(t), "_lines": lines})
-    w = F.col("_words")
+    cut, rows, shouts, stops = fresh(docs, "_words", "_lines", "_shouts", "_stops")
+    ratios = ("mean_word_chars", "symbols_per_word", "shouts_per_word", "dup_line_ratio", "stop_word_ratio", "listed")
+    listed = F.coalesce(F.col(lang).rlike(LISTED), F.lit(True)) if lang in docs.columns else F.lit(True)
+    first = docs.withColumns({cut: words(t), rows: lines})
+    w = F.col(cut)
     bare = lambda x: F.translate(F.lower(x), ".,;:!?#*$%&|<>\"'()", "")
     made = (
         {
             "n_words": long(F.size(w)),
             "word_chars": long(F.length(F.regexp_replace(t, BLANKS, ""))),
             "n_symbols": long(F.length(F.regexp_replace(t, f"[^{SYMBOLS}]++", ""))),
-            "n_lines": long(F.size("_lines")),
-            "n_dup_lines": long(F.size("_lines") - F.size(F.array_distinct("_lines"))),
+            "n_lines": long(F.size(rows)),
+            "n_dup_lines": long(F.size(rows) - F.size(F.array_distinct(rows))),
             "n_repeat_words": _repeat_words(w),
-            "_shouts": long(F.length(F.regexp_replace(t, "[^!]++", ""))),
+            shouts: long(F.length(F.regexp_replace(t, "[^!]++", ""))),
             "latin": _latin(t),
-            "_stops": long(F.size(F.filter(w, lambda x: bare(x).isin(*dict.fromkeys(STOP_WORDS))))),
+            "listed": listed,
+            stops: long(F.size(F.filter(w, lambda x: bare(x).isin(*dict.fromkeys(STOP_WORDS))))),
         }
     )
     # Generated columns keep a filter on them from being pushed down and computed anew.
-    old = [x for x in first.columns if x not in made]
+    old = passed(docs, *made, *ratios)
     counted = first.select(*old, F.inline(F.array(F.struct(*[v.alias(k) for k, v in made.items()]))))
     c = F.col
     return counted.withColumns(
         {
             "mean_word_chars": ratio(c("word_chars"), c("n_words")),
             "symbols_per_word": ratio(c("n_symbols"), c("n_words")),
-            "shouts_per_word": ratio(c("_shouts"), c("n_words")),
+            "shouts_per_word": ratio(c(shouts), c("n_words")),
             "dup_line_ratio": ratio(c("n_dup_lines"), c("n_lines")),
-            "stop_word_ratio": ratio(c("_stops"), c("n_words")),
-            "listed": c("latin") & (F.coalesce(c(lang).rlike(LISTED), F.lit(True)) if lang in docs.columns else F.lit(True)),
+            "stop_word_ratio": ratio(c(stops), c("n_words")),
+            "listed": c("latin") & c("listed"),
         }
-    ).drop("_words", "_lines", "_shouts", "_stops")
+    ).drop(shouts, stops)
 
 
 def verdict(table: tuple[Threshold, ...] = THRESHOLDS) -> Column:
@@ -138,4 +143,5 @@ def verdict(table: tuple[Threshold, ...] = THRESHOLDS) -> Column:
 def apply_rules(docs: DataFrame, text: str = "text", table: tuple[Threshold, ...] = THRESHOLDS) -> DataFrame:
     """``docs`` with metrics, ``base_failed`` and ``kept``."""
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return measure(docs, text).withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & verdict(table))
+    bare = docs.select(*passed(docs, "base_failed", "kept"))
+    return measure(bare, text).withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & verdict(table))

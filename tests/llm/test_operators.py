@@ -67,6 +67,32 @@ def test_decontamination(spark, docs):
     assert decontamination.mark(docs, items.limit(0)).where("size(hit_at) > 0").count() == 0
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_decontamination_against_brute_force(spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(decontamination, "BROADCAST_BYTES", 0)
+    dealt = random.Random(4)
+    made = lambda n: " ".join(dealt.choice(["Ab", "c", "dé", "E", "f9"]) + dealt.choice([" ", ", ", "-"]).strip(" ") for _ in range(n))
+    texts = [None, "", "...", *(made(dealt.choice([3, 12, 40])) for _ in range(40))]
+    items = [(1, texts[9]), (2, made(4)), (3, "c"), (2, made(15)), (None, "f9 f9 ab"), (5, None), (6, "!"), (7, texts[9])]
+    docs = spark.createDataFrame([(k % 30, t, "mine", 7) for k, t in enumerate(texts)], "doc_id bigint, text string, _row string, N_WORDS int")
+    got = sorted(([r.doc_id, r.n_words, r.hit_at, r["items"], r._row] for r in decontamination.mark(docs, spark.createDataFrame(items, "item_id int, text string")).collect()), key=repr)
+    cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    want = []
+    for k, t in enumerate(texts):
+        ws, hit, ids = cut(t), set(), set()
+        for item, text in items:
+            iw = cut(text)
+            n = min(10, len(iw))
+            wins = [iw[j : j + n] for j in range(len(iw) - n + 1)] if iw else []
+            for a in range(len(ws)):
+                if ws[a : a + n] in wins:
+                    hit.update(range(a, a + n))
+                    ids.add("" if item is None else str(item))
+        want.append([k % 30, len(ws), sorted(hit), sorted(ids), "mine"])
+    assert got == sorted(want, key=repr)
+
+
 def test_secrets(docs):
     got = {r.doc_id: r.secrets for r in secrets.scan_secrets(docs).collect()}
     assert [(s.kind, s.start, s.end) for s in got[7]] == [("assign", 0, 24), ("access", 29, 51)]
@@ -226,3 +252,33 @@ def test_license_identifiers_and_short_names(spark):
     want += [("It is released under the MIT.", ["mit"], 0.98), ("licensed under BSD or MPL 2.0", ["bsd"], 0.98), ("fahren mit dem Bus, isc, zlib", [], 0.0), ("SPDX-License-Identifier: GPL-2.0\nmit", ["gpl"], 1.0)]
     got = licenses.scan_licenses(spark.createDataFrame([(k, t) for k, (t, _, _) in enumerate(want)], "doc_id int, text string")).orderBy("doc_id").collect()
     assert [(r.detected.labels, r.detected.score) for r in got] == [(x, y) for _, x, y in want]
+
+
+def test_quality_rules_keep_clashing_columns(spark):
+    frame = spark.createDataFrame([(1, "a b " * 30, "w", "l", "s", "t", "old", 5)], "doc_id int, text string, _words string, _lines string, _shouts string, _stops string, Kept string, N_Words int")
+    got = quality_rules.apply_rules(frame)
+    assert {"_words", "_lines", "_shouts", "_stops"} < set(got.columns) and "Kept" not in got.columns and "N_Words" not in got.columns
+    r = got.first()
+    assert (r._words, r._lines, r._shouts, r._stops, r.n_words) == ("w", "l", "s", "t", 60)
+
+
+def test_html_odd_markup():
+    assert html_text.extract("<p>one <![foo[ x ]]> two</p><![CDATA[y]]>") == "one two"
+    related = "<html><body><nav>a</nav><article><h1>T</h1><div class=related-work><p>%s</p></div><div class=related><p>See this.</p></div></article></body></html>" % ("plain words of it " * 30)
+    assert html_text.extract(related) == "T\n\n" + ("plain words of it " * 30).strip()
+    text = "plain words of the page " * 40
+    for deep in ("<span>" * 100_000, "<div>" * 100_000, "<b><hr>" * 50_000, "<table><b><hr>" * 30_000):
+        page = f"<article><p>{text}{deep}</p></i></em>" + "</i></em>" * 50_000 + "</article>"
+        assert html_text.extract(page).split("\n\n")[0] == text.strip()
+
+
+def test_license_signatures_wrap_and_suppress(spark):
+    grant = "# Permission is hereby granted, free of charge, to any person\n# obtaining a copy of this software and associated\n# documentation files"
+    gnu = "This program is free software; you can redistribute it and/or modify\n * it under the terms of the GNU General\n * Public License as published by the Free Software\n * Foundation; either version 2"
+    url = "see https://creativecommons.org/licenses/by-nc-sa/4.0/ and http://www.apache.org/licenses/LICENSE-2.0"
+    want = [(grant, ["mit"]), (gnu, ["gpl"]), (url, ["cc-by-nc-sa", "apache"]), ("an accident in the city", []), ("GNU Lesser General Public License, version 3", ["lgpl"]), ("MIT License and all\nrights reserved", ["mit", "proprietary"])]
+    frame = spark.createDataFrame([(k, t, "mine", "old") for k, (t, _) in enumerate(want)], "doc_id int, text string, _low string, PLACES string")
+    got = licenses.scan_licenses(frame).orderBy("doc_id")
+    assert "PLACES" not in got.columns and [(r.detected.labels, r._low) for r in got.collect()] == [(x, "mine") for _, x in want]
+    rules = licenses.rules()
+    assert len(rules) > 200 and len({p for _, _, _, p, _ in rules}) == len(rules)
