@@ -4,7 +4,8 @@ A text is cut by the tokenizer's pattern; each distinct word is merged once per
 remembered.  The
 rank table (one row per token) is broadcast.  Merges of long words run over a heap, so one very long
 word costs n log n.  Decoding concatenates the binary pieces.  Defined cases: null and empty texts have no
-ids and decode to no bytes; an id that the table lacks raises an error.
+ids and decode to no bytes; an id that the table lacks raises an error; columns are made, so repeated rows are
+encoded each, other columns are the caller's, and an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,8 +23,9 @@ from pyspark import Broadcast
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-#: Distinct words that a worker remembers; others are merged anew.
-MEMORY = 1 << 18
+#: Distinct words that a worker remembers, and their most characters; others are merged anew.  The memory
+#: thus stays below 2 ** 18 entries of about 1 kB.
+MEMORY, REMEMBERED = 1 << 18, 64
 #: Words up to this many bytes are folded over a plain list, longer ones over a heap.
 SHORT = 64
 
@@ -101,8 +103,8 @@ def encode(text: Column, using: tuple[Broadcast, str]) -> Column:
         for batch in batches:
             flat, ends = array("i"), [0]
             for t in batch.to_pylist():
-                for got in map(known, cut.findall(t)) if t else ():
-                    flat.extend(got)
+                for w in cut.findall(t) if t else ():
+                    flat.extend(known(w) if len(w) <= REMEMBERED else merge(w.encode(), ranks))
                 ends.append(len(flat))
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32)))
 

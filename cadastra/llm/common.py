@@ -50,6 +50,11 @@ def passed(df: DataFrame, *results: str) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c.lower() not in replaced]
 
 
+def delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class Scratch:
     """Tables written to the shared folder: they cut the lineage and outlive executors."""
 
@@ -65,8 +70,7 @@ class Scratch:
 
     def drop(self, part: str = "work") -> None:
         """Delete the tables of one part; no plan may read them afterwards."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.top}/{part}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(self.spark, f"{self.top}/{part}")
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, decontamination, html_text, licenses, near_dedup, pii, quality_classifier, quality_rules, secrets
+from . import byte_bpe, chat, decontamination, html_text, licenses, near_dedup, oracle, pii, quality_classifier, quality_rules, secrets
 from .common import bounded_batches, read
 
 
@@ -120,4 +120,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.SQL)

@@ -4,17 +4,18 @@ The rules are compiled together by subset construction and minimised into one tr
 array (``automaton.compile_rules``).  A text is encoded with one byte per code point, so byte
 offsets are code-point offsets; characters that no rule can name share a byte.  The single pass
 notices the end of a match; a mirrored automaton then walks back to the leftmost start and the
-rule's own forward automaton finds the longest end.  Matches of one kind do not overlap.  A private
-key's match is its BEGIN line; its span goes on through the body to the END line, or without END to the
-end of the base64 lines, by a linear expression applied behind the match only.
+rule's own forward automaton finds the longest end.  Matches of one kind do not overlap.  The automaton of a rule
+beside the base ones matches what the secret begins with; its span goes on through the body by a linear expression
+applied behind the match only: a private key's from BEGIN to the END line, or without END to the end of the base64
+lines.  Minimal lengths hold for the whole span.
 
 Defined cases: a null or empty text has no spans; extra columns pass through untouched and a
-column that already has the result's name is replaced; repeated rows are scanned each.
+column that already has the result's name in any case is replaced; repeated rows are scanned each; an empty table
+gives an empty result; long texts are scanned whole.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,7 +32,7 @@ from .common import bounded_batches
 
 @dataclass(frozen=True)
 class Rule:
-    """``least`` counts characters of the match, or of what follows ``after`` in it; ``tail`` goes on behind the match."""
+    """``least`` counts characters of the match, or of what follows the separator in it (``value_only``); ``tail`` goes on behind the match."""
 
     kind: str
     pattern: str
@@ -54,10 +55,23 @@ _KEY_BODY = rf"""(?:[A-Za-z0-9/=:.()_]|{_GAP}|\\|-(?!----))*+-----END\ [A-Z\ ]*P
 #: Without END: headers, lines of 16 base64 characters and more, and a shorter last line that fills its line or is padded.
 _KEY_REST = rf"""(?:{_GAP}*+(?:Proc-Type|DEK-Info|Comment):[^\n\\]*+)*+(?:{_GAP}*+(?:[A-Za-z0-9/]|\+(?!\s)){{16,}}+={{0,2}}+)++(?:{_GAP}++[A-Za-z0-9+/]++(?:={{1,2}}+|(?=["']|\\[nr]|[\x20\t]*+(?:[\r\n]|\Z))))?"""
 #: Only the base hex rule counts characters: counters of several rules multiply the states, so lengths
-#: are checked by ``least``; bodies that hold other prefixes multiply them too, so the list is short.
+#: are checked by ``least``.  Bodies that hold other rules' prefixes multiply them too, so the automaton of an
+#: extra rule ends with its prefix and the body is its tail.
 EXTRA_RULES = (
-    Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 40),
-    Rule("gitlab", r"glpat-[A-Za-z0-9_\-]+", 26),
+    Rule("github", r"gh[pousr]_", 40, tail=r"[A-Za-z0-9]+"),
+    Rule("github_fine", r"github_pat_", 40, tail=r"[A-Za-z0-9_]+"),
+    Rule("gitlab", r"glpat-", 26, tail=r"[A-Za-z0-9_\-]+"),
+    Rule("slack", r"xox[abeoprs]-", 20, tail=r"[A-Za-z0-9\-]+"),
+    Rule("slack_hook", r"hooks\.slack\.com/services/T", 50, tail=r"[A-Za-z0-9/]+"),
+    Rule("stripe", r"[rs]k_(?:live|test)_", 24, tail=r"[A-Za-z0-9]+"),
+    Rule("google_key", r"AIza", 39, tail=r"[A-Za-z0-9_\-]+"),
+    Rule("google_oauth", r"ya29\.", 25, tail=r"[A-Za-z0-9_\-]+"),
+    Rule("npm", r"npm_", 40, tail=r"[A-Za-z0-9]+"),
+    Rule("pypi", r"pypi-AgEIcHlwaS5vcmc", 60, tail=r"[A-Za-z0-9_\-]+"),
+    Rule("sendgrid", r"SG\.", 60, tail=r"[A-Za-z0-9_\-]{16,32}\.[A-Za-z0-9_\-]+"),
+    Rule("shopify", r"shp(?:at|ca|pa|ss)_", 38, tail=r"[0-9a-fA-F]+"),
+    Rule("digitalocean", r"do[opr]_v1_", 64, tail=r"[0-9a-f]+"),
+    Rule("jwt", r"eyJ", 40, tail=r"[A-Za-z0-9_\-]+\.eyJ[A-Za-z0-9_\-]+\.[A-Za-z0-9_\-]+"),
     Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, tail=f"{_KEY_BODY}|{_KEY_REST}"),
 )
 RULES = BASE_RULES + EXTRA_RULES
@@ -177,7 +191,3 @@ def redact(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
         return pa.array(out, pa.string())
 
     return cover(text, spans)
-
-
-def digest_of(spans: list[str]) -> str:
-    return hashlib.sha256(",".join(spans).encode()).hexdigest()
