@@ -1,4 +1,10 @@
-"""Corpus pipeline: quality rules, near-dedup, decontamination, secret scan, byte-level BPE."""
+"""Corpus pipeline: quality rules, near-dedup, decontamination, secret scan, byte-level BPE.
+
+Defined cases of every stage: an empty table gives an empty result; columns beyond those of ``documents`` are left
+out; very long texts are worked on whole.  Null and empty texts fail the quality rules; the later stages keep them
+as clean and unlinked.  Rows without an id, or with the id of others, are judged each by its own text.  Of exact
+copies near-dedup keeps the row of smallest id, and of equal ids the first as read; the other stages treat repeated rows alike.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastra.llm import byte_bpe, decontamination, near_dedup, quality_rules, secrets
-from cadastra.llm.common import bounded_batches, read, shared_folder
+from cadastra.llm.common import bounded_batches, delete, read, shared_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -58,12 +64,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again."""
+    """All stages over ``documents``, each written to the shared folder and read again; only the last table stays."""
     top = os.path.join(shared_folder(spark), f"pipeline-{uuid.uuid4().hex}")
     docs = read(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{top}/{k}")
         docs = spark.read.parquet(f"{top}/{k}")
+        if k:
+            delete(spark, f"{top}/{k - 1}")
     return docs
 
 
