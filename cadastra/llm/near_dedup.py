@@ -9,12 +9,14 @@ smallest hashes.  Equal sets form a class first, so exact copies never meet each
    its smallest class only, so pairs grow with the rows of the lists.  Pairs pass a length bound and
    the union-sketch estimate before exact Jaccard on full sets; links make components.
 2. Classes in lists that still hold several components are open, and two classes of different
-   components that share a listed value are both open.  Their full sets are ordered by rarity and listed anew,
-   by value and size range of either side.  A set of ``n`` whose first common value with another stands at
-   position ``i`` links only with sets of at most ``(4n - 7i) / 3``, so the values of a passage that
-   many texts share no longer bring them together.  This step is an exact prefix and positional filter.
-   Again lists first pair with one leader of the largest component; then members of different
-   components that pass the positional bound are paired and verified.
+   components that share a listed value are both open.  A list pairs its members of other components with
+   its hub, the class with the smallest share of shingles that no other open class has: in a group of edited
+   copies that is the text closest to all others, whatever the order of the rows.
+3. The full sets of open classes are ordered by rarity and listed anew, by value and size range of either
+   side.  A set of ``n`` whose first common value with another stands at position ``i`` links only with sets
+   of at most ``(4n - 7i) / 3``, so the values of a passage that many texts share no longer bring them
+   together.  This step is an exact prefix and positional filter: members of different components that pass
+   the positional bound are paired and verified.
 
 Defined cases: null, empty and blank texts have no shingles and stay alone; fewer than five words
 are one shingle; repeated rows are copies; extra columns pass through, result names are replaced; an empty
@@ -138,25 +140,29 @@ def merged(labels: DataFrame, edges: DataFrame, cut: Callable[[DataFrame], DataF
     return cut(labels.join(tops.select(F.col("id").alias("comp"), F.col("comp").alias("top")), "comp", "left").select("id", F.coalesce("top", "comp").alias("comp")))
 
 
-def positional(sets: DataFrame, labels: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def ranked(sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(id, n, v): the values of a full set that other sets have too, rarest first, and whether they join components."""
+    rows = sets.join(labels, "id").select("id", "n", "comp", F.explode("shingles").alias("value"))
+    seen = rows.groupBy("value").agg(F.count("*").alias("df"), (F.min("comp") < F.max("comp")).alias("mixed")).where("df > 1")
+    return rows.join(seen, "value").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "value", "mixed"))).alias("v"))
+
+
+def positional(ranks: DataFrame) -> DataFrame:
     """Rows (list, low, id, n, at) of the prefix values of full sets, listed by value and the size ranges of both sides.
 
     ``low`` rows stand on the side of the smaller range.  Values that one class or one component only has are left out,
     after the positions of all values are known.
     """
-    rows = sets.join(labels, "id").select("id", "n", "comp", F.explode("shingles").alias("value"))
-    seen = rows.groupBy("value").agg(F.count("*").alias("df"), (F.min("comp") < F.max("comp")).alias("mixed")).where("df > 1")
-    shared = rows.join(seen, "value").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "value", "mixed"))).alias("v"))
     alone = F.col("n") - F.size("v")
     take = (F.col("n") - F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) + 1 - alone).cast("int")
-    prefix = shared.where(take > 0).select("id", "n", alone.alias("alone"), F.posexplode(F.slice("v", 1, take)).alias("at", "v"))
+    prefix = ranks.where(take > 0).select("id", "n", alone.alias("alone"), F.posexplode(F.slice("v", 1, take)).alias("at", "v"))
     found = prefix.where("v.mixed").select("id", "n", (F.col("at") + F.col("alone")).alias("at"), "v.value")
     size = lambda x: F.floor(F.log(x) / math.log(RANGE))
     most = F.floor((F.lit(4) * F.col("n") - F.lit(7) * F.col("at")) / 3)
     ranged = found.select("id", "n", "at", "value", size(F.col("n")).alias("own"), size(F.ceil(F.col("n") * NUMERATOR / DENOMINATOR)).alias("lo"), size(F.greatest(most, F.lit(1))).alias("hi"))
     low = ranged.where("hi >= own").select("id", "n", "at", "value", F.col("own").alias("x"), F.explode(F.sequence("own", "hi")).alias("y"), F.lit(True).alias("low"))
     high = ranged.where("least(hi, own) >= lo").select("id", "n", "at", "value", F.explode(F.sequence("lo", F.least("hi", "own"))).alias("x"), F.col("own").alias("y"), F.lit(False).alias("low"))
-    return cut(low.unionByName(high).select(F.xxhash64("value", "x", "y").alias("list"), "low", "id", "n", "at"))
+    return low.unionByName(high).select(F.xxhash64("value", "x", "y").alias("list"), "low", "id", "n", "at")
 
 
 def _mixed(lists: DataFrame, labels: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -184,14 +190,15 @@ def linked_components(classes: DataFrame, sets_of: Callable[[DataFrame], DataFra
     labels = components(nodes, verify(star, sets, cut), cut)
     placed = lists.join(labels, "id")
     mixed = placed.groupBy("value").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most")
-    unsettled = cut(placed.join(mixed, "value", "left_semi").select("id").distinct())
-    if unsettled.isEmpty():
+    open_lists = cut(placed.join(mixed, "value", "left_semi"))
+    if open_lists.isEmpty():
         return labels
-    listed = positional(sets.join(unsettled, "id"), labels, cut)
-    rows = _mixed(listed, labels, cut)
-    chosen = rows.where("not low").groupBy("list").agg(F.min_by(F.struct("id", "n", "at", "comp"), F.struct(F.col("comp") != F.col("main"), F.xxhash64("id"))).alias("l")).select("list", "l.*")
-    labels = merged(labels, verify(cut(_across(rows.where("low"), chosen).distinct()), sets, cut), cut)
-    rows = _mixed(listed, labels, cut)
+    ranks = cut(ranked(sets.join(open_lists.select("id").distinct(), "id", "left_semi"), labels))
+    own = ranks.select("id", (F.size("v") / F.col("n")).alias("common"))
+    hubs = open_lists.join(own, "id").groupBy("value").agg(F.min_by(F.struct("id", "comp"), F.struct(-F.col("common"), "id")).alias("hub"))
+    apart = open_lists.join(hubs, "value").where("comp != hub.comp").select("id", F.col("hub.id").alias("hub"))
+    labels = merged(labels, verify(cut(apart.select(*_pair("id", "hub")).distinct()), sets, cut), cut)
+    rows = _mixed(cut(positional(ranks)), labels, cut)
     low, high, main = rows.where("low"), rows.where("not low"), F.col("comp") == F.col("main")
     rest = _across(low.where(~main), high).unionByName(_across(low.where(main), high.where(~main)))
     return merged(labels, verify(cut(rest.distinct()), sets, cut), cut)

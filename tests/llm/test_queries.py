@@ -141,8 +141,10 @@ def components(texts):
     return [(len(s), find(k)) for k, s in enumerate(sets)]
 
 
-def test_near_duplicates_in_large_groups(spark):
-    """Groups of edited copies around the threshold, chains, and a passage that many texts share."""
+def test_near_duplicates_in_large_groups(spark, monkeypatch):
+    """Groups of edited copies around the threshold, chains, and a passage that many texts share; pairs stay few."""
+    tried, verify = [], near_dedup.verify
+    monkeypatch.setattr(near_dedup, "verify", lambda pairs, *more: tried.append(pairs.count()) or verify(pairs, *more))
     dealt = random.Random(7)
     vocabulary = [f"w{k}" for k in range(3000)]
     made = lambda n: dealt.choices(vocabulary, k=n)
@@ -160,6 +162,7 @@ def test_near_duplicates_in_large_groups(spark):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in rows}
     assert [got[k] for k in range(len(texts))] == components(texts)
     assert sum(r.is_first for r in rows) == len({c for _, c in got.values()})
+    assert sum(tried) < 8 * len(texts)
 
 
 def test_pipeline_stages(spark):
