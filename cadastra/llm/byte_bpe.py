@@ -24,8 +24,8 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 #: Distinct words that a worker remembers, and their most characters; others are merged anew.  The memory
-#: thus stays below 2 ** 18 entries of about 1 kB.
-MEMORY, REMEMBERED = 1 << 18, 64
+#: thus stays below 2 ** 16 entries of about 1 kB.
+MEMORY, REMEMBERED = 1 << 16, 64
 #: Words up to this many bytes are folded over a plain list, longer ones over a heap.
 SHORT = 64
 
@@ -102,8 +102,8 @@ def encode(text: Column, using: tuple[Broadcast, str]) -> Column:
         known = lru_cache(MEMORY)(lambda w: merge(w.encode(), ranks))
         for batch in batches:
             flat, ends = array("i"), [0]
-            for t in batch.to_pylist():
-                for w in cut.findall(t) if t else ():
+            for x in batch:
+                for w in cut.findall(x.as_py() or ""):
                     flat.extend(known(w) if len(w) <= REMEMBERED else merge(w.encode(), ranks))
                 ends.append(len(flat))
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32)))

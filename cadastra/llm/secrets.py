@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import automaton
-from .common import bounded_batches
+from .common import bounded_batches, fresh
 
 
 @dataclass(frozen=True)
@@ -169,25 +169,40 @@ def scan_secrets(docs: DataFrame, text: str = "text", out: str = "secrets", rule
     return docs.withColumn(out, secret_spans(F.col(text), rules))
 
 
-def redact(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
-    """``text`` with every maximal run of overlapping spans replaced by ``mask``; null stays null."""
-
-    @F.arrow_udf("string")
-    def cover(texts: pa.Array, found: pa.Array) -> pa.Array:
-        out = []
-        for t, f in zip(texts, found):
-            t, f = t.as_py(), f.as_py()
-            if f:
-                parts, at, k = [], 0, 0
-                while k < len(f):
-                    a, b = f[k]["start"], f[k]["end"]
-                    while k < len(f) and f[k]["start"] < b:
-                        b = max(b, f[k]["end"])
-                        k += 1
-                    parts += [t[at:a], mask]
-                    at = b
-                t = "".join([*parts, t[at:]])
-            out.append(t)
-        return pa.array(out, pa.string())
-
-    return cover(text, spans)
+def _covered(text: str, spans: list[tuple[int, int]], mask: str) -> str:
+    """``text`` with every maximal run of overlapping spans replaced by ``mask``."""
+    parts, at, k = [], 0, 0
+    while k < len(spans):
+        a, b = spans[k]
+        while k < len(spans) and spans[k][0] < b:
+            b = max(b, spans[k][1])
+            k += 1
+        parts += [text[at:a], mask]
+        at = b
+    return "".join([*parts, text[at:]])
+
+
+def mask_secrets(docs: DataFrame, text: str = "text", out: str = "secrets", rules: tuple[Rule, ...] = RULES, mask: str = "[SECRET]") -> DataFrame:
+    """``docs`` with every maximal run of overlapping secrets in ``text`` replaced, and their former spans; null stays null.
+
+    One function scans and masks, so a task runs one Python worker.
+    """
+    bounded_batches(docs.sparkSession)
+    kinds = [r.kind for r in rules]
+    span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
+    made = pa.struct([("text", pa.string()), ("spans", pa.list_(span))])
+
+    @F.arrow_udf(f"struct<text:string,spans:{SPANS}>")
+    def masked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        scan = scanner(rules).scan
+        for batch in batches:
+            rows = []
+            for x in batch:
+                t = x.as_py()
+                found = scan(t)
+                listed = [{"kind": kinds[k], "start": a, "end": b} for a, k, b in found]
+                rows.append({"text": _covered(t, [(a, b) for a, _, b in found], mask) if found else t, "spans": listed})
+            yield pa.array(rows, made)
+
+    (both,) = fresh(docs, "_masked")
+    return docs.withColumn(both, masked(F.col(text))).withColumns({text: F.col(both)["text"], out: F.col(both)["spans"]}).drop(both)
