@@ -37,8 +37,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets masked; n_chars is that of the masked text."""
-    masked = secrets.scan_secrets(docs).withColumn("text", secrets.redact(F.col("text"), F.col("secrets")))
-    return masked.withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
+    return secrets.mask_secrets(docs).withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
