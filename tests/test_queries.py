@@ -6,9 +6,9 @@ import duckdb
 import pytest
 
 from cadastra.plans import queries as records
-from cadastra.plans import golden, linking, summaries
+from cadastra.plans import golden, linking, merges, summaries
 
-MODULES = (records, summaries, linking, golden)
+MODULES = (records, summaries, linking, merges, golden)
 QUERIES = {k: f for m in MODULES for k, f in m.queries().items()}
 ORACLE = {k: q for m in MODULES for k, q in m.oracle_sql().items()}
 DATA = "/root/testdata/sf0.001"
