@@ -88,7 +88,7 @@ def free_text_address(value: Column) -> Column:
     state_zip, bare_zip = r"\b[A-Za-z]{2}\s+(\d{5})(?:-\d{4})?\s*$", r"\b(\d{5})(?:-\d{4})?\s*$"
 
     def read(parts: Column) -> Column:
-        last = F.element_at(parts, -1)
+        last = F.try_element_at(parts, F.lit(-1))
         pattern = F.when(last.rlike(state_zip), F.lit(state_zip)).when(last.rlike(bare_zip), F.lit(bare_zip))
         code = F.coalesce(*[F.nullif(F.regexp_extract(last, p, 1), F.lit("")) for p in (state_zip, bare_zip)])
         head = F.trim(F.regexp_replace(last, pattern, F.lit("")))
@@ -106,11 +106,11 @@ def site_address(value: Column) -> Column:
     tail = r"^([A-Z]{2})\s+(\d{5}(?:-\d{4})?)$"
 
     def read(parts: Column) -> Column:
-        last = F.element_at(parts, -1)
+        last = F.try_element_at(parts, F.lit(-1))
         good = (F.size(parts) >= 3) & last.rlike(tail)
         street = F.when(good, F.array_join(F.slice(parts, F.lit(1), F.size(parts) - 2), ", ")).otherwise(text(value))
         only = lambda c: F.when(good, c)
-        return F.struct(street.alias("street"), only(F.element_at(parts, -2)).alias("city"), only(F.regexp_extract(last, tail, 1)).alias("state"), only(F.regexp_extract(last, tail, 2)).alias("postal_code"))
+        return F.struct(street.alias("street"), only(F.try_element_at(parts, F.lit(-2))).alias("city"), only(F.regexp_extract(last, tail, 1)).alias("state"), only(F.regexp_extract(last, tail, 2)).alias("postal_code"))
 
     none = F.struct(*[F.lit(None).cast("string").alias(c) for c in ("street", "city", "state", "postal_code")])
     return let(_segments(F.coalesce(value, F.lit(""))), lambda p: F.when(F.size(p) > 0, read(p)).otherwise(none))

@@ -113,6 +113,6 @@ def ring(value: Column) -> Column:
     """A closed ring of four positions or more, each of two finite numbers or more; null otherwise."""
     read = F.from_json(value, "array<array<double>>")
     finite = lambda p: (F.size(p) >= 2) & F.forall(p, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
-    ends = lambda r, k: F.get(r[0], F.lit(k)) == F.get(F.element_at(r, -1), F.lit(k))
+    ends = lambda r, k: F.get(F.get(r, F.lit(0)), F.lit(k)) == F.get(F.try_element_at(r, F.lit(-1)), F.lit(k))
     good = lambda r: (F.size(r) >= 4) & F.forall(r, finite) & ends(r, 0) & ends(r, 1)
     return readers.let(read, lambda r: F.when(F.coalesce(good(r), F.lit(False)), r))

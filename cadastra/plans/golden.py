@@ -232,7 +232,7 @@ GOLDEN = {
     ),
     "q_ring": Golden(
         "v string", "points bigint", lambda: [F.size(json_values.ring(C("v"))).cast("bigint")],
-        (("[[0,0],[1,0],[1,1],[0,0]]", 4), ("[[0,0],[1,0],[1,1],[0,1]]", None), ("[[0,0],[1,0],[0,0]]", None), ("[[0,0],[1],[1,1],[0,0]]", None), ("[[0,0,5],[1,0,5],[1,1,5],[0,0,7]]", 4), ("bad", None), (None, None)),
+        (("[[0,0],[1,0],[1,1],[0,0]]", 4), ("[[0,0],[1,0],[1,1],[0,1]]", None), ("[[0,0],[1,0],[0,0]]", None), ("[[0,0],[1],[1,1],[0,0]]", None), ("[[0,0,5],[1,0,5],[1,1,5],[0,0,7]]", 4), ("bad", None), (None, None), ("[]", None), ("[[],[],[],[]]", None)),
     ),
 }
 

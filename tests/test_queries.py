@@ -6,9 +6,9 @@ import duckdb
 import pytest
 
 from cadastra.plans import queries as records
-from cadastra.plans import golden, linking, merges, summaries
+from cadastra.plans import artifacts, golden, linking, merges, summaries
 
-MODULES = (records, summaries, linking, merges, golden)
+MODULES = (records, summaries, linking, merges, artifacts, golden)
 QUERIES = {k: f for m in MODULES for k, f in m.queries().items()}
 ORACLE = {k: q for m in MODULES for k, q in m.oracle_sql().items()}
 DATA = "/root/testdata/sf0.001"
@@ -19,7 +19,7 @@ def _rows(frame):
     return sorted(map(repr, ([None if v is None or v != v else (float(v) if isinstance(v, float) else str(v)) for v in r] for r in frame.astype(object).values.tolist())))
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_oracle(spark, name):
     con = duckdb.connect()
     for p in Path(DATA).glob("*.parquet"):
