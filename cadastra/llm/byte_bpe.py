@@ -24,8 +24,8 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 #: Distinct words that a worker remembers, and their most characters; others are merged anew.  The memory
-#: thus stays below 2 ** 16 entries of about 1 kB.
-MEMORY, REMEMBERED = 1 << 16, 64
+#: thus stays below 2 ** 18 entries of about 1 kB at most.
+MEMORY, REMEMBERED = 1 << 18, 64
 #: Words up to this many bytes are folded over a plain list, longer ones over a heap.
 SHORT = 64
 

@@ -140,23 +140,23 @@ def merged(labels: DataFrame, edges: DataFrame, cut: Callable[[DataFrame], DataF
     return cut(labels.join(tops.select(F.col("id").alias("comp"), F.col("comp").alias("top")), "comp", "left").select("id", F.coalesce("top", "comp").alias("comp")))
 
 
-def ranked(sets: DataFrame, labels: DataFrame) -> DataFrame:
-    """(id, n, v): the values of a full set that other sets have too, rarest first, and whether they join components."""
-    rows = sets.join(labels, "id").select("id", "n", "comp", F.explode("shingles").alias("value"))
-    seen = rows.groupBy("value").agg(F.count("*").alias("df"), (F.min("comp") < F.max("comp")).alias("mixed")).where("df > 1")
-    return rows.join(seen, "value").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "value", "mixed"))).alias("v"))
+def ranked(sets: DataFrame) -> DataFrame:
+    """(id, n, common, prefix): how many values of a full set other sets have too, and those of them that stand in its prefix, rarest first."""
+    rows = sets.select("id", F.explode("shingles").alias("value"))
+    seen = rows.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
+    shared = rows.join(seen, "value").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("v")).join(sets.select("id", "n"), "id")
+    take = F.col("n") - F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) + 1 - (F.col("n") - F.size("v"))
+    return shared.select("id", "n", F.size("v").alias("common"), F.transform(F.slice("v", F.lit(1), F.greatest(take, F.lit(0)).cast("int")), lambda x: x["value"]).alias("prefix"))
 
 
-def positional(ranks: DataFrame) -> DataFrame:
+def positional(ranks: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows (list, low, id, n, at) of the prefix values of full sets, listed by value and the size ranges of both sides.
 
-    ``low`` rows stand on the side of the smaller range.  Values that one class or one component only has are left out,
-    after the positions of all values are known.
+    ``low`` rows stand on the side of the smaller range.  Values that one component only has in prefixes are left out.
     """
-    alone = F.col("n") - F.size("v")
-    take = (F.col("n") - F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) + 1 - alone).cast("int")
-    prefix = ranks.where(take > 0).select("id", "n", alone.alias("alone"), F.posexplode(F.slice("v", 1, take)).alias("at", "v"))
-    found = prefix.where("v.mixed").select("id", "n", (F.col("at") + F.col("alone")).alias("at"), "v.value")
+    rows = ranks.select("id", "n", (F.col("n") - F.col("common")).alias("alone"), F.posexplode("prefix").alias("at", "value"))
+    mixed = rows.join(labels, "id").groupBy("value").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most")
+    found = rows.join(mixed, "value", "left_semi").select("id", "n", (F.col("at") + F.col("alone")).alias("at"), "value")
     size = lambda x: F.floor(F.log(x) / math.log(RANGE))
     most = F.floor((F.lit(4) * F.col("n") - F.lit(7) * F.col("at")) / 3)
     ranged = found.select("id", "n", "at", "value", size(F.col("n")).alias("own"), size(F.ceil(F.col("n") * NUMERATOR / DENOMINATOR)).alias("lo"), size(F.greatest(most, F.lit(1))).alias("hi"))
@@ -193,12 +193,13 @@ def linked_components(classes: DataFrame, sets_of: Callable[[DataFrame], DataFra
     open_lists = cut(placed.join(mixed, "value", "left_semi"))
     if open_lists.isEmpty():
         return labels
-    ranks = cut(ranked(sets.join(open_lists.select("id").distinct(), "id", "left_semi"), labels))
-    own = ranks.select("id", (F.size("v") / F.col("n")).alias("common"))
-    hubs = open_lists.join(own, "id").groupBy("value").agg(F.min_by(F.struct("id", "comp"), F.struct(-F.col("common"), "id")).alias("hub"))
+    ranks = cut(ranked(sets.join(open_lists.select("id").distinct(), "id", "left_semi")))
+    own = ranks.select("id", (F.col("common") / F.col("n")).alias("share"))
+    # A class without any common value has no row of its own there.
+    hubs = open_lists.join(own, "id", "left").groupBy("value").agg(F.min_by(F.struct("id", "comp"), F.struct(-F.coalesce("share", F.lit(0.0)), "id")).alias("hub"))
     apart = open_lists.join(hubs, "value").where("comp != hub.comp").select("id", F.col("hub.id").alias("hub"))
     labels = merged(labels, verify(cut(apart.select(*_pair("id", "hub")).distinct()), sets, cut), cut)
-    rows = _mixed(cut(positional(ranks)), labels, cut)
+    rows = _mixed(cut(positional(ranks, labels)), labels, cut)
     low, high, main = rows.where("low"), rows.where("not low"), F.col("comp") == F.col("main")
     rest = _across(low.where(~main), high).unionByName(_across(low.where(main), high.where(~main)))
     return merged(labels, verify(cut(rest.distinct()), sets, cut), cut)
