@@ -2,13 +2,14 @@
 
 Short pieces of a text are compressed with a zstandard dictionary made from good and one made from bad labelled
 texts.  The difference of the sizes over their sum becomes a probability by a logistic curve fitted on labelled texts kept out
-of the dictionaries.  At most ``SAMPLE`` distinct labelled texts of each class (smallest hashes) and
-``DICTIONARY`` bytes per dictionary are used; both classes are counted over all labelled rows and the curve
+of the dictionaries.  At most ``SAMPLE`` distinct labelled texts of each class (smallest hashes), of
+``SAMPLE_BYTES`` together but for the last one, and ``DICTIONARY`` bytes per dictionary are used; both classes are counted over all labelled rows and the curve
 is weighted by these counts, so the class balance does not depend on the sample.  A dictionary is made of
 pieces of ``PIECE`` bytes spread evenly over its texts from their first to their last byte.  Only the score's
 fit is bounded, every text is scored whole.  Defined cases: null and empty texts score as the curve does at
 zero difference and are not trained on; a text with both labels is sampled for each; with a class absent
-all scores are the share of the other class.
+all scores are the share of the other class, with an empty table one half; equal texts get equal scores; repeated
+labelled rows count each, their text is sampled once; a column of scores is made, so other columns are the caller's.
 """
 
 from __future__ import annotations
@@ -19,10 +20,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLE, DICTIONARY, PIECE, LEVEL = 2000, 1 << 17, 512, 3
+SAMPLE, SAMPLE_BYTES, DICTIONARY, PIECE, LEVEL = 2000, 32 << 20, 1 << 17, 512, 3
 #: Piece lengths in bytes to choose from; in short pieces the dictionary outweighs a text's own repeats.
 CHUNKS = (48, 96, 192)
 
@@ -94,11 +95,13 @@ def _calibrated(groups: dict[int, list[str]], counts: dict[int, int], feed: dict
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
     """Fit on the SAMPLE distinct texts of smallest hashes of each class; only hashes of texts are joined and dealt."""
     t = F.col(text)
-    hashed = docs.where(F.length(t) > 0).select(key, F.xxhash64(t).alias("h"), F.xxhash64(F.lit(1), t).alias("g"))
-    marks = hashed.join(labels.where(F.col(label).isin(0, 1)).select(key, label), key).groupBy(label, "h", "g").agg(F.count("*").alias("n"), F.min(key).alias(key)).persist()
+    hashed = docs.where(F.length(t) > 0).select(key, F.xxhash64(t).alias("h"), F.xxhash64(F.lit(1), t).alias("g"), F.octet_length(t).cast("bigint").alias("size"))
+    marks = hashed.join(labels.where(F.col(label).isin(0, 1)).select(key, label), key).groupBy(label, "h", "g").agg(F.count("*").alias("n"), F.min(key).alias(key), F.max("size").alias("size")).persist()
     counts = {0: 0, 1: 0} | {r[0]: r[1] for r in marks.groupBy(label).agg(F.sum("n")).collect()}
     picked = [marks.where(F.col(label) == k).orderBy("h", "g").limit(SAMPLE) for k in (0, 1)]
-    chosen = picked[0].unionByName(picked[1]).select(F.col(label).cast("int").alias("_y"), "h", "g", key)
+    before = F.sum("size").over(Window.partitionBy(label).orderBy("h", "g")) - F.col("size")
+    few = picked[0].unionByName(picked[1]).withColumn("_before", before).where(F.col("_before") < SAMPLE_BYTES)
+    chosen = few.select(F.col(label).cast("int").alias("_y"), "h", "g", key)
     found = docs.select(key, text).join(F.broadcast(chosen), key).where((F.xxhash64(t) == F.col("h")) & (F.xxhash64(F.lit(1), t) == F.col("g")))
     rows = {(r._y, r.h, r.g): r[text] for r in found.select("_y", "h", "g", text).repartition(16).toLocalIterator()}
     marks.unpersist()
