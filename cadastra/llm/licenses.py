@@ -1,8 +1,8 @@
 """License scan: ordered signature rules behind a keyword prefilter, as native expressions.
 
 Rules are the hand-written signatures of ``license_signatures``: SPDX identifiers, grants, notices, addresses,
-statements and names, in order of priority.  A text is matched only against the rules whose keyword it
-contains, with blanks and comment marks between the words of a keyword taken as one blank.  Detections are ordered by start, longest first, then by priority; one whose interval lies inside an
+statements and names, in order of priority.  A text is matched only against the rules whose keywords are
+all among its words.  Detections are ordered by start, longest first, then by priority; one whose interval lies inside an
 earlier one is suppressed, so an equal interval goes to the rule of higher priority.
 
 Defined cases: a null or empty text has no words and no labels; repeated rows are scanned each; an empty
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fresh, passed
-from .license_signatures import BLANK, rules
+from .license_signatures import rules
 from .text import NOT_WORD, ascii_lower, let, words
 
 #: Phrases that always count, with their labels.
@@ -65,15 +65,19 @@ def _resolve(found: Column) -> Column:
 
 def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with n_words, places (word index, label), detected (labels, score, n)."""
-    keys = list(dict.fromkeys(key for _, _, key, _, _ in rules()))
-    lit_rules = F.array(*[F.struct(F.lit(k).alias("priority"), F.lit(lb).alias("label"), F.lit(key).alias("key"), F.lit(p).alias("pattern"), F.lit(s).alias("score")) for k, lb, key, p, s in rules()])
     low = ascii_lower(F.coalesce(F.col(text), F.lit("")))
     made = ("n_words", "places", "detected")
-    folded, flat, cut = fresh(docs, "_low", "_flat", "_words")
-    first = docs.select(*passed(docs, *made), low.alias(folded)).withColumn(flat, F.regexp_replace(folded, BLANK, " ")).withColumn(cut, words(F.col(folded), NOT_WORD))
-    gate = F.filter(F.array(*[F.when(F.contains(F.col(flat if " " in k else folded), F.lit(k)), F.lit(k)) for k in keys]), lambda k: k.isNotNull())
+    folded, cut, said = fresh(docs, "_low", "_words", "_said")
+    needs = {k: [alt.split("/") for alt in key.split()] for k, _, key, _, _ in rules()}
+    vocabulary = sorted({w for alts in needs.values() for alt in alts for w in alt} | {w for p in BASE for w in p.split()})
+    listed = lambda xs: F.array(*[F.lit(x) for x in xs])
+    lit_rules = F.array(
+        *[F.struct(F.lit(k).alias("priority"), F.lit(lb).alias("label"), F.array(*[listed(alt) for alt in needs[k]]).alias("needs"), F.lit(p).alias("pattern"), F.lit(s).alias("score")) for k, lb, _, p, s in rules()]
+    )
+    first = docs.select(*passed(docs, *made), low.alias(folded)).withColumn(cut, words(F.col(folded), NOT_WORD)).withColumn(said, F.array_intersect(cut, listed(vocabulary)))
     none = F.array().cast("array<struct<at:int,label:string>>")
-    base = F.flatten(F.array(*[F.when(F.contains(F.col(folded), F.lit(p.split()[-1])), let(F.col(cut), _of(p))).otherwise(none) for p in BASE]))
-    active = lambda ks: F.filter(lit_rules, lambda r: F.array_contains(ks, r["key"]))
-    spans = let(gate, lambda ks: F.when(F.size(ks) == 0, F.array().cast("array<struct<start:int,stop:int,priority:int,label:string,score:double>>")).otherwise(F.flatten(F.transform(active(ks), lambda r: _detections(F.col(folded), r)))))
-    return first.withColumns({"n_words": F.size(cut).cast("bigint"), "places": base, "detected": _resolve(spans)}).drop(folded, flat, cut)
+    base = F.flatten(F.array(*[F.when(F.forall(listed(p.split()), lambda w: F.array_contains(said, w)), let(F.col(cut), _of(p))).otherwise(none) for p in BASE]))
+    active = F.filter(lit_rules, lambda r: F.forall(r["needs"], lambda alt: F.arrays_overlap(alt, said)))
+    nothing = F.array().cast("array<struct<start:int,stop:int,priority:int,label:string,score:double>>")
+    spans = let(active, lambda rs: F.when(F.size(rs) == 0, nothing).otherwise(F.flatten(F.transform(rs, lambda r: _detections(F.col(folded), r)))))
+    return first.withColumns({"n_words": F.size(cut).cast("bigint"), "places": base, "detected": _resolve(spans)}).drop(folded, cut, said)
