@@ -16,14 +16,14 @@ def _t(spark: SparkSession, sf_dir: str, *names: str):
 def q_mart_star(spark: SparkSession, d: str) -> DataFrame:
     """One row per customer: place, latest order, order totals."""
     c, n, r, o = _t(spark, d, "customer", "nation", "region", "orders")
-    last = first_per_key(o, ["o_custkey"], [F.col("o_orderdate").desc(), F.col("o_orderkey")])
-    sums = o.groupBy("o_custkey").agg(F.count("*").alias("n_orders"), F.max("o_totalprice").alias("max_price"))
+    # One aggregation with partial results; a window would sort all orders of a customer.
+    last = F.min_by(F.struct("o_orderkey", "o_orderstatus"), F.struct(-F.unix_micros(F.col("o_orderdate").cast("timestamp")), "o_orderkey"))
+    sums = o.groupBy("o_custkey").agg(F.count("*").alias("n_orders"), F.max("o_totalprice").alias("max_price"), last.alias("l"))
     return (
         c.join(n, c.c_nationkey == n.n_nationkey, "left")
         .join(r, n.n_regionkey == r.r_regionkey, "left")
-        .join(last.select(F.col("o_custkey").alias("k1"), "o_orderkey", "o_orderstatus"), F.col("c_custkey") == F.col("k1"), "left")
         .join(sums.withColumnRenamed("o_custkey", "k2"), F.col("c_custkey") == F.col("k2"), "left")
-        .select("c_custkey", "n_name", "r_name", F.col("o_orderkey").alias("last_order"), F.col("o_orderstatus").alias("last_status"), F.coalesce("n_orders", F.lit(0)).alias("n_orders"), "max_price", F.col("n_orders").isNotNull().alias("has_orders"))
+        .select("c_custkey", "n_name", "r_name", F.col("l.o_orderkey").alias("last_order"), F.col("l.o_orderstatus").alias("last_status"), F.coalesce("n_orders", F.lit(0)).alias("n_orders"), "max_price", F.col("n_orders").isNotNull().alias("has_orders"))
     )
 
 

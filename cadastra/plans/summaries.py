@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastra.functions import keys
+from cadastra.plans.artifacts import work_folder
 from cadastra.sources import fixed_width
 from cadastra.streaming.appends import load_new
 
@@ -118,13 +115,12 @@ def q_fixed_width(spark: SparkSession, d: str) -> DataFrame:
 def q_pii_scan(spark: SparkSession, d: str) -> DataFrame:
     t = F.coalesce("text", F.lit(""))
     count = lambda p: F.regexp_count(t, F.lit(p)).cast("bigint")
-    return _t(spark, d, "documents").select("doc_id", count(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}").alias("n_mail"), count(r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b").alias("n_ssn"))
+    return _t(spark, d, "documents").select("doc_id", count(r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,}").alias("n_mail"), count(r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b").alias("n_ssn"))
 
 
 def q_incremental_available_now(spark: SparkSession, d: str) -> DataFrame:
     """Events appended by a stream, called twice: the second call adds nothing."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    top = os.path.join(shared, f"events-{uuid.uuid4().hex}")
+    top = work_folder(spark, "events")
     source = f"{d}/events.parque[t]"
     load_new(spark, source, f"{top}/rows", f"{top}/state")
     return load_new(spark, source, f"{top}/rows", f"{top}/state").groupBy("event_type").agg(_n().alias("n"), F.countDistinct("event_id").alias("n_ids"))

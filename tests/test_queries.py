@@ -6,9 +6,9 @@ import duckdb
 import pytest
 
 from cadastra.plans import queries as records
-from cadastra.plans import artifacts, golden, linking, marts, merges, scopes, summaries
+from cadastra.plans import artifacts, golden, linking, mapping, marts, merges, scopes, summaries
 
-MODULES = (records, summaries, linking, merges, artifacts, marts, scopes, golden)
+MODULES = (records, summaries, linking, merges, artifacts, marts, scopes, mapping, golden)
 QUERIES = {k: f for m in MODULES for k, f in m.queries().items()}
 ORACLE = {k: q for m in MODULES for k, q in m.oracle_sql().items()}
 DATA = "/root/testdata/sf0.001"
