@@ -21,6 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
 from .text import let
 
 ROUNDS = 8
@@ -211,7 +212,11 @@ def pseudonym(value: Column, key: str) -> Column:
 def pseudonymise(docs: DataFrame, key: str, text: str = "text", out: str = "text") -> DataFrame:
     """``docs`` with ``out`` holding the pseudonymised text and ``n_values`` the valid matches, which are replaced."""
     t = F.col(text)
-    found = F.regexp_extract_all(t, F.lit(PATTERN), F.lit(0))
+    (found,) = fresh(docs, "_found")
+    # Matches are a column of their own, so that the pattern runs once over a text; only texts with matches are cut.
+    first = docs.withColumn(found, F.regexp_extract_all(t, F.lit(PATTERN), F.lit(0)))
     zipped = F.arrays_zip(F.split(t, PATTERN).alias("piece"), F.transform(found, lambda m: pseudonym(m, key)).alias("new"))
     joined = F.array_join(F.transform(zipped, lambda z: F.concat(F.coalesce(z["piece"], F.lit("")), F.coalesce(z["new"], F.lit("")))), "")
-    return docs.withColumns({"n_values": F.coalesce(F.size(F.filter(found, is_valid)), F.lit(0)).cast("bigint"), out: F.when(F.size(found) > 0, joined).otherwise(t)})
+    n_valid = F.when(F.size(found) > 0, F.size(F.filter(found, is_valid))).otherwise(0).cast("bigint")
+    done = first.withColumn("n_values", n_valid).withColumn(out, F.when(F.col("n_values") > 0, joined).otherwise(t))
+    return done.drop(found)
