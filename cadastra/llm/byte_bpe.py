@@ -14,7 +14,6 @@ import base64
 import heapq
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +22,9 @@ from pyspark import Broadcast
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-#: Distinct words that a worker remembers, and their most characters; others are merged anew.  The memory
-#: thus stays below 2 ** 18 entries of about 1 kB at most.
-MEMORY, REMEMBERED = 1 << 18, 64
+#: Distinct words that a worker remembers before it starts anew, and their most characters; others are merged anew.
+#: The memory thus stays below 2 ** 17 entries of about 1 kB at most.
+MEMORY, REMEMBERED = 1 << 17, 64
 #: Words up to this many bytes are folded over a plain list, longer ones over a heap.
 SHORT = 64
 
@@ -99,12 +98,18 @@ def encode(text: Column, using: tuple[Broadcast, str]) -> Column:
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ranks, cut = shared.value, regex.compile(pattern)
-        known = lru_cache(MEMORY)(lambda w: merge(w.encode(), ranks))
+        known: dict[str, list[int]] = {}
         for batch in batches:
             flat, ends = array("i"), [0]
             for x in batch:
                 for w in cut.findall(x.as_py() or ""):
-                    flat.extend(known(w) if len(w) <= REMEMBERED else merge(w.encode(), ranks))
+                    if (got := known.get(w)) is None:
+                        got = merge(w.encode(), ranks)
+                        if len(w) <= REMEMBERED:
+                            if len(known) == MEMORY:
+                                known.clear()
+                            known[w] = got
+                    flat.extend(got)
                 ends.append(len(flat))
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32)))
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 #: Rows and bytes in one Arrow batch: what a Python worker holds at a time stays bounded
 #: however long single texts are.
-BATCH_ROWS, BATCH_BYTES = 512, 32 << 20
+BATCH_ROWS, BATCH_BYTES = 256, 8 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -55,6 +55,9 @@ def delete(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+SMALLEST = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+
+
 class Scratch:
     """Tables written to the shared folder: they cut the lineage and outlive executors."""
 
@@ -65,7 +68,13 @@ class Scratch:
         """``df`` written and read again."""
         self.n += 1
         path = f"{self.top}/{part}/{self.n}"
-        df.write.parquet(path)
+        # Small tables are written as few files; the caller's setting holds again afterwards.
+        before = self.spark.conf.get(SMALLEST, None)
+        self.spark.conf.set(SMALLEST, "16m")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.unset(SMALLEST) if before is None else self.spark.conf.set(SMALLEST, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, part: str = "work") -> None:

@@ -72,7 +72,7 @@ def features_of(text: Column) -> Column:
         kind = pa.struct([("n", pa.int64()), ("set_id", pa.binary()), ("sketch", pa.list_(pa.int64()))])
         for batch in batches:
             sets = (hashes(t.as_py()) for t in batch)
-            yield pa.array([{"n": len(h), "set_id": xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None, "sketch": h[:K]} for h in sets], kind)
+            yield pa.array([{"n": len(h), "set_id": xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None, "sketch": h[:K].copy()} for h in sets], kind)
 
     return made(text)
 
